@@ -30,6 +30,8 @@ from .common import map_batches, slices
 
 #: Most pre-token chunks a worker remembers, and the longest chunk it remembers.
 MEMO_ENTRIES, MEMO_CHARS = 200_000, 64
+#: Steps are taken modulo a prime over the number of slots, so that a step shared with it can't keep a bucket from free slots.
+PRIME = (1 << 31) - 1
 
 # The characters with Unicode's White_Space property.
 WHITE_SPACE = "\t-\r \x85\xa0  -     　"
@@ -73,13 +75,13 @@ class PerfectHash:
                 continue
             d = 0
             while True:
-                slots = {(first + d * step) % self.n for _, first, step in members}
+                slots = {(first + d * step) % PRIME % self.n for _, first, step in members}
                 if len(slots) == len(members) and not any(taken[s] for s in slots):
                     break
                 d += 1
             displacements[b] = d
             for i, first, step in members:
-                slot = (first + d * step) % self.n
+                slot = (first + d * step) % PRIME % self.n
                 taken[slot], slot_key[slot] = 1, i
         free = iter([s for s in range(self.n) if not taken[s]])
         for b, i in alone:  # a bucket of one key names its slot
@@ -93,7 +95,7 @@ class PerfectHash:
             return -1
         b, first, step = self._parts(key)
         d = self._d[b]
-        i = self._slot[-d - 1 if d < 0 else (first + d * step) % self.n]
+        i = self._slot[-d - 1 if d < 0 else (first + d * step) % PRIME % self.n]
         return i if self.keys[i] == key else -1
 
 

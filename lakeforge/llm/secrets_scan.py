@@ -228,6 +228,9 @@ def op8_secrets(spark, sf_dir: str) -> DataFrame:
     """Counts and spans of every document."""
     kinds = [r.kind for r in RULES[:3]]
     found = scan(table(spark, sf_dir, "documents"), F.col("text"), ["doc_id"])
-    count = {f"n_{k}": F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long") for k in kinds}
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("found", lambda s: s["kind"].isin(kinds))
-    return found.select("doc_id", *[c.alias(n) for n, c in count.items()], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
+    return found.select("doc_id", *map(count, kinds), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
