@@ -16,6 +16,7 @@ import base64
 import heapq
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -169,10 +170,15 @@ def coder(shared) -> ByteBPE:
     return _coder[key]
 
 
+@lru_cache(maxsize=4)
+def _made(path: str, pattern: str) -> ByteBPE:
+    return ByteBPE(read_ranks(path), pattern)
+
+
 def share(spark, path: str, pattern: str):
     """Broadcast the vocabulary with its hash; its size is that of the rank file, not of the data."""
-    tokens = read_ranks(path)
-    made = ByteBPE(tokens, pattern)
+    made = _made(path, pattern)
+    tokens = made.tokens
     key = xxhash.xxh3_128_hexdigest(b"\n".join([pattern.encode(), *tokens]))
     return spark.sparkContext.broadcast((key, pattern, tokens, made.hash.arrays))
 
