@@ -27,10 +27,10 @@ from pyspark.sql import types as T
 from .common import held_out, map_batches, slices, table
 
 #: Most labelled rows the model is fitted on, half of them at most of label 1.
-TRAIN_ROWS = 3000
-BUCKETS, DIM, EPOCHS, BATCH, RATE = 1 << 15, 16, 30, 64, 0.5
+TRAIN_ROWS = 6000
+BUCKETS, DIM, EPOCHS, BATCH, RATE = 1 << 15, 16, 15, 64, 0.3
 #: Logits are of mean vectors; scaling them lets a few words count in a long text.
-SCALE = 20.0
+SCALE = 100.0
 MEMO_WORDS = 400_000
 THRESHOLD = 0.3
 
