@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -11,7 +12,7 @@ from lakeforge.operators import loads, windows
 
 
 def _plain(v):
-    if v is None or v != v:
+    if pd.isna(v):
         return None
     if hasattr(v, "to_pydatetime"):
         v = v.to_pydatetime()
