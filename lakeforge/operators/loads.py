@@ -40,6 +40,75 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*keys, *[F.when(F.col("__s").isNotNull(), F.col(f"__s.{c}")).otherwise(F.col(f"__t.{c}")).alias(c) for c in values])
 
 
+def merge_guarded(target: DataFrame, source: DataFrame, keys: list[str], keep: list[str] = ("dl_createddateutc",), hash_column: str = "dl_rowhash", null_safe: bool = False) -> DataFrame:
+    """Merge with ``dl_action``: I inserted, U updated as the hashes differ, K kept.
+
+    A null key meets nothing unless ``null_safe``; a null hash is no difference;
+    columns in ``keep`` stay as they were on an update. Columns of one side only are
+    null in the other. A key repeated in the source is an error.
+    """
+    names = target.columns + [c for c in source.columns if c not in target.columns]
+    wide = {f.name: f.dataType for f in [*source.schema, *target.schema]}
+
+    def side(df, tag):
+        return df.select(F.struct(*[(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(wide[c]).alias(c) for c in names]).alias(tag))
+
+    key = [F.col(f"`{k}`") for k in keys]
+    whole = F.lit(True)
+    for k in key:
+        whole = whole & k.isNotNull()
+    # Only keys that can meet a target row must be single.
+    single, loose = (source, source.limit(0)) if null_safe else (source.where(whole), source.where(~whole))
+    one = F.when(F.count("*") > 1, F.raise_error("merge: several source rows for one key")).otherwise(F.first(F.struct(*source.columns)))
+    s = side(single.groupBy(*key).agg(one.alias("__s")).select("__s.*"), "s")
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) if null_safe else F.col(f"t.{k}") == F.col(f"s.{k}"))
+    both = side(target, "t").join(s, on, "full_outer")
+    differs = F.col(f"t.{hash_column}") != F.col(f"s.{hash_column}")
+    action = F.when(F.col("t").isNull(), "I").when(differs, "U").otherwise("K")
+    both = both.withColumn("dl_action", action)
+    chosen = [F.when((F.col("dl_action") == "I") | ((F.col("dl_action") == "U") & F.lit(c not in keep)), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in names]
+    return both.select(*chosen, "dl_action").unionByName(side(loose, "s").select("s.*", F.lit("I").alias("dl_action")))
+
+
+def cdc_apply(target: DataFrame, changes: DataFrame, keys: list[str], op: str = "op") -> DataFrame:
+    """Net changes (one a key) on a target with ``is_deleted, is_current``: a delete keeps the row's values and marks it."""
+    values = [c for c in target.columns if c not in [*keys, "is_deleted", "is_current"]]
+    t = target.select(*keys, F.struct(*target.columns).alias("t"))
+    c = changes.select(*keys, F.struct(*values, op).alias("c"))
+    both = t.join(c, keys, "full_outer")
+    gone, change = F.col(f"c.{op}") == "delete", F.col("c").isNotNull()
+    picked = [F.when(change & (~gone | F.col("t").isNull()), F.col(f"c.{v}")).otherwise(F.col(f"t.{v}")).alias(v) for v in values]
+    marks = [F.when(change, f).otherwise(F.col(f"t.{n}")).alias(n) for n, f in (("is_deleted", gone.cast("int")), ("is_current", (~gone).cast("int")))]
+    return both.select(*keys, *picked, *marks)
+
+
+def scd2(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], now) -> DataFrame:
+    """History of versions: ``active_start, active_end, is_current`` beside the columns.
+
+    Changed current rows end at ``now`` and get a new version, new keys get their
+    first, equal rows and keys missing from the source stay. The source has one row a key.
+    """
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}"))
+    s = source.select(*keys, F.struct(*columns).alias("s"))
+    current = target.where("is_current = 1")
+    both = current.select(*keys, F.struct(*target.columns).alias("t")).join(s, keys, "full_outer")
+    fresh = F.col("s").isNotNull() & (F.col("t").isNull() | ~same)
+    ended = F.col("t").isNotNull() & F.col("s").isNotNull() & ~same
+    old = F.when(F.col("t").isNotNull(), F.struct(*[F.col(f"t.{c}").alias(c) for c in columns], F.col("t.active_start").alias("active_start"), F.when(ended, now).otherwise(F.col("t.active_end")).alias("active_end"), F.when(ended, 0).otherwise(1).alias("is_current")))
+    new = F.when(fresh, F.struct(*[F.col(f"s.{c}").alias(c) for c in columns], now.alias("active_start"), F.lit(None).cast("timestamp").alias("active_end"), F.lit(1).alias("is_current")))
+    rows = both.select(*keys, F.explode(F.array_compact(F.array(old, new))).alias("v")).select(*keys, "v.*")
+    return target.where("is_current = 0").select(rows.columns).unionByName(rows)
+
+
+def capture_deletions(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the target that the source no longer has."""
+    return target.join(source.select(*keys), keys, "left_anti").select(*keys)
+
+
 STRATEGIES: dict[str, Callable[[DataFrame, DataFrame, list[str]], DataFrame]] = {f.__name__: f for f in (overwrite, append, append_new, overwrite_by_key, merge)}
 
 

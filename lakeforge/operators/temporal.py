@@ -23,3 +23,17 @@ def versions(df: DataFrame, key: str, time: str, tie: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(time, tie)
     out = df.withColumns({"valid_from": F.col(time), "valid_to": F.lead(time).over(w)})
     return out.withColumn("is_current", F.col("valid_to").isNull().cast("int"))
+
+
+def version_at(facts: DataFrame, dim: DataFrame, key: str, time: str, value: str, latest_if_none: bool) -> DataFrame:
+    """Facts with the value of the version valid at their time, or else of the key's latest one.
+
+    ``dim`` has half-open intervals that don't overlap, so the last start at or before a
+    time is the version. Of equal starts the one with the later end counts.
+    """
+    start = dim.groupBy(key, "valid_from").agg(F.max_by(value, F.coalesce("valid_to", F.lit("9999-12-31").cast("timestamp"))).alias("__value"))
+    out = as_of(facts, start, key, time, "valid_from", "__value", value)
+    if not latest_if_none:
+        return out
+    last = dim.groupBy(key).agg(F.max_by(value, F.struct(F.coalesce("valid_to", F.lit("9999-12-31").cast("timestamp")), "valid_from")).alias("__last"))
+    return out.join(last, key, "left").withColumn(value, F.coalesce(value, "__last")).drop("__last")

@@ -37,3 +37,8 @@ def net_changes(df: DataFrame, keys: list[str], sequence: list[str], op: str) ->
     last = latest_per_key(df, keys, [F.col(c).desc() for c in sequence])
     gone = F.col(op) == "delete"
     return last.withColumns({"is_deleted": gone.cast("int"), "is_current": (~gone).cast("int")})
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """Rows numbered from 1 within each key, as a long."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
