@@ -106,32 +106,35 @@ class ByteBPE:
     def __init__(self, tokens: list[bytes], pattern: str, arrays: tuple[np.ndarray, np.ndarray] | None = None):
         self.tokens, self.pattern = tokens, regex.compile(pattern)
         self.hash = PerfectHash(tokens, *(arrays or (None, None)))
+        # Tier two asks for the ranks of many short pieces, most of them no tokens; a plain dict is quickest for these.
+        self.ranks = {t: i for i, t in enumerate(tokens) if t}
         # A chunk is one white space character at most and what follows up to the next; pre-tokens never cross its ends.
         self.chunks = re.compile(f"[{WHITE_SPACE}]?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?=[{WHITE_SPACE}][^{WHITE_SPACE}])|[{WHITE_SPACE}]+").findall
         self.memo: dict[str, tuple[int, ...]] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of a pre-token that is no vocabulary entry."""
-        n, find = len(piece), self.hash.find
+        n, rank_of = len(piece), self.ranks.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # starts of the next and the previous part
-        heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := find(piece[i : i + 2])) >= 0]
+        heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := rank_of(piece[i : i + 2])) is not None]
         heapq.heapify(heap)
+        pop, push = heapq.heappop, heapq.heappush
         live = bytearray(b"\x01" * n)
         while heap:
-            _, at, end = heapq.heappop(heap)
+            _, at, end = pop(heap)
             if not live[at] or (mid := after[at]) >= n or after[mid] != end:
                 continue
             live[mid], after[at] = 0, end
             if end < n:
                 before[end] = at
                 far = after[end]
-                if (rank := find(piece[at:far])) >= 0:
-                    heapq.heappush(heap, (rank, at, far))
-            if (left := before[at]) >= 0 and (rank := find(piece[left:end])) >= 0:
-                heapq.heappush(heap, (rank, left, end))
+                if (rank := rank_of(piece[at:far])) is not None:
+                    push(heap, (rank, at, far))
+            if (left := before[at]) >= 0 and (rank := rank_of(piece[left:end])) is not None:
+                push(heap, (rank, left, end))
         out, at = [], 0
         while at < n:
-            out.append(find(piece[at : after[at]]))
+            out.append(self.ranks[piece[at : after[at]]])
             at = after[at]
         return out
 
