@@ -1,9 +1,14 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer network.
 
-Every token has a fixed sparse index vector drawn from its hash; a token's word vector is
-the sum of the index vectors of its neighbours over the whole corpus, added up by executors
-and summed by bucket. A document is the mean and the spread of its tokens' word vectors.
-The network is trained in numpy; a temperature found on a part kept back calibrates it.
+Every token has a fixed sparse index vector drawn from its hash; a word's vector is the sum
+of the index vectors of its neighbours over the whole corpus, scaled to length one. A
+document is the mean and the spread of its tokens' word vectors. The network is trained in
+numpy; a temperature found on a part kept back calibrates it.
+
+Every word has a vector of its own; words are known by 64-bit hashes. A task cuts its texts
+into chunks and sends each chunk's words with their sums to the blocks of the vocabulary; a
+block adds them up and sends every chunk the vectors of its own words; the chunk's documents,
+kept as bags of words, are pooled from these. No place holds the vocabulary as a whole.
 
 Word vectors take all texts; the network is fitted on at most TRAIN_ROWS labelled rows (by
 a hash of the id). Defined results: null and empty texts pool to zeros and get a score;
@@ -13,100 +18,261 @@ label 1 (0 with none); an empty table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 import re
-import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, map_batches, slices, table
+from .common import held_out, map_batches, materialize, slices, table
 
 #: Most labelled rows the network is fitted on.
 TRAIN_ROWS = 20_000
-BUCKETS, DIM, NONZERO, REACH = 1 << 12, 32, 4, 2
+DIM, NONZERO, REACH = 32, 4, 2
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 80, 64, 0.01, 1e-4
-MEMO_WORDS = 400_000
+#: A chunk ends at so many distinct words or tokens, so that a task's memory stays bounded and sums fit in 32 bits.
+CHUNK_WORDS, CHUNK_TOKENS = 800_000, 20_000_000
+#: Blocks of the vocabulary, by the hash's upper bits; splits of the input that share a task, as chunks of more text repeat fewer words.
+BLOCK_BITS, SPLITS = 11, 3
+BAG_ROWS = 500
 THRESHOLD = 0.3
 
 _tokens = re.compile(r"\w+|[^\w\s]+").findall
+_zstd = pa.Codec("zstd", 1)
 
 
-def index_vectors(seed: int = 11) -> np.ndarray:
-    """NONZERO entries of plus or minus one for each bucket."""
-    rng = np.random.default_rng(seed)
-    out = np.zeros((BUCKETS, DIM), np.float32)
-    for k in range(NONZERO):
-        out[np.arange(BUCKETS), rng.integers(0, DIM, BUCKETS)] += rng.choice([-1.0, 1.0], BUCKETS)
-    return out
-
-
-def token_ids(text: str, memo: dict[str, int]) -> np.ndarray:
-    tokens = _tokens(text)
-    for t in set(tokens).difference(memo):
-        memo[t] = zlib.crc32(t.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
-    return np.fromiter(map(memo.__getitem__, tokens), np.int32, len(tokens))
-
+def word_hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
-def word_vectors(df: DataFrame, text: Column) -> np.ndarray:
-    """Unit word vectors by bucket over all texts; BUCKETS rows come to the driver, whatever the corpus."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, memo, total = index_vectors(), {}, np.zeros((BUCKETS, DIM), np.float64)
-        seen = np.zeros(BUCKETS, np.int64)
-        for b in slices(batches, 200):
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-            for t in b.column(0):
-                ids = token_ids(t.as_py() or "", memo)
-                for at in range(0, len(ids), 100_000):  # bounded steps; the reach crosses their ends
-                    lo, hi = max(0, at - REACH), min(len(ids), at + 100_000 + REACH)
-                    vec = index[ids[lo:hi]]
-                    around = np.zeros_like(vec)
-                    for k in range(1, REACH + 1):
-                        around[k:] += vec[:-k]
-                        around[:-k] += vec[k:]
-                    own, near = ids[at : at + 100_000], around[at - lo : at - lo + len(ids[at : at + 100_000])]
-                    order = np.argsort(own, kind="stable")
-                    who, first = np.unique(own[order], return_index=True)
-                    total[who] += np.add.reduceat(near[order], first, axis=0)
-                    seen[who] += np.diff(np.append(first, len(own)))
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(list(total[at].astype(np.float32)), pa.list_(pa.float32()))], names=["bucket", "v"])
-
-    parts = map_batches(df.select(text.alias("t")), run, "bucket int, v array<float>")
-    sums = parts.groupBy("bucket").agg(*[F.sum(F.col("v")[k].cast("double")).alias(f"v{k}") for k in range(DIM)]).toPandas()
-    out = np.zeros((BUCKETS, DIM), np.float32)
-    if len(sums):
-        v = sums[[f"v{k}" for k in range(DIM)]].to_numpy()
-        out[sums["bucket"].to_numpy()] = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+def index_vectors(hashes: np.ndarray) -> np.ndarray:
+    """NONZERO entries of plus or minus one for each hash, from its lower bits."""
+    out, at = np.zeros((len(hashes), DIM), np.int8), np.arange(len(hashes))
+    for k in range(NONZERO):
+        bits = (hashes >> np.uint64(6 * k)).astype(np.int64)
+        out[at, bits & 31] += ((bits >> 5 & 1) * 2 - 1).astype(np.int8)
     return out
 
 
-def pool(df: DataFrame, text: Column, vectors: np.ndarray, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and ``pooled``: mean and spread of the word vectors."""
-    shared = df.sparkSession.sparkContext.broadcast(vectors)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, memo = shared.value, {}
-        squares = own**2
-        for b in slices(batches, 500):
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-            out = np.zeros((b.num_rows, 2 * DIM), np.float32)
-            for i, t in enumerate(b.column(0)):
-                ids = token_ids(t.as_py() or "", memo)
-                if len(ids):
-                    share = np.bincount(ids, minlength=BUCKETS).astype(np.float32) / len(ids)
-                    mean = share @ own
-                    out[i, :DIM], out[i, DIM:] = mean, np.sqrt(np.maximum(share @ squares - mean**2, 0))
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), 2 * DIM).cast(pa.list_(pa.float32()))], names=[*keep, "pooled"])
-
+def _pack(*parts) -> bytes:
+    raw = pickle.dumps(parts, protocol=5)
+    return len(raw).to_bytes(8, "little") + _zstd.compress(raw, asbytes=True)
+
+
+def _unpack(blob: bytes) -> tuple:
+    return pickle.loads(_zstd.decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True))
+
+
+def _planes(x: np.ndarray) -> np.ndarray:
+    """The bytes of whole numbers, all lowest ones first, which compress better."""
+    return np.ascontiguousarray(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)
+
+
+def _whole(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
+
+
+def _narrow(v: np.ndarray) -> tuple:
+    """Rows of sums in as few bytes as they need."""
+    small = (np.abs(v) < 128).all(axis=1)
+    return small, v[small].astype(np.int8), v[~small].astype(np.int64)
+
+
+def _wide(small: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    v = np.empty((len(small), DIM), np.int64)
+    v[small], v[~small] = low, high
+    return v
+
+
+class Chunk:
+    """Texts as bags of words, and the words' sums of the index vectors around them."""
+
+    def __init__(self):
+        self.memo: dict[str, int] = {}
+        self.hashes = np.zeros(0, np.uint64)
+        self.index, self.total = np.zeros((0, DIM), np.int8), np.zeros((0, DIM), np.int32)
+        self.bags: list[tuple[pa.RecordBatch, list[int], list[np.ndarray], list[np.ndarray]]] = []
+        self.tokens = 0
+
+    def _ids(self, text: str) -> np.ndarray:
+        tokens, memo = _tokens(text), self.memo
+        if new := sorted(set(tokens).difference(memo)):
+            at, end = len(memo), len(memo) + len(new)
+            memo.update(zip(new, range(at, end), strict=True))
+            if end > len(self.hashes):
+                more = max(end, 2 * len(self.hashes), 1 << 14) - len(self.hashes)
+                self.hashes = np.concatenate([self.hashes, np.zeros(more, np.uint64)])
+                self.index, self.total = (np.concatenate([x, np.zeros((more, DIM), x.dtype)]) for x in (self.index, self.total))
+            self.hashes[at:end] = np.fromiter(map(word_hash, new), np.uint64, len(new))
+            self.index[at:end] = index_vectors(self.hashes[at:end])
+        return np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
+
+    def add(self, texts: list[str | None], keep: pa.RecordBatch) -> None:
+        lengths, words, counts = [], [], []
+        for text in texts:
+            ids, n = self._ids(text or ""), 0
+            for at in range(0, len(ids), 100_000):  # bounded steps; the reach crosses their ends
+                lo, hi = max(0, at - REACH), min(len(ids), at + 100_000 + REACH)
+                vec = self.index[ids[lo:hi]]
+                around = np.zeros_like(vec)
+                for k in range(1, REACH + 1):
+                    around[k:] += vec[:-k]
+                    around[:-k] += vec[k:]
+                own = ids[at : at + 100_000]
+                near = around[at - lo : at - lo + len(own)]
+                order = np.argsort(own, kind="stable")
+                own = own[order]
+                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                who = own[first]
+                self.total[who] += np.add.reduceat(near[order], first, axis=0, dtype=np.int32)
+                words.append(who)
+                counts.append(np.diff(np.append(first, len(own))))
+                n += len(who)
+            lengths.append(n)
+            self.tokens += len(ids)
+        self.bags.append((keep, lengths, words, counts))
+
+    def full(self) -> bool:
+        return len(self.memo) > CHUNK_WORDS or self.tokens > CHUNK_TOKENS
+
+    def rows(self) -> Iterator[tuple[int, bytes]]:
+        """Sums by block (``p`` from 0), the words in the order of the blocks (-1), and bags (beyond the blocks)."""
+        n = len(self.memo)
+        order = np.argsort(self.hashes[:n])
+        hashes = self.hashes[order]
+        block = (hashes >> np.uint64(64 - BLOCK_BITS)).astype(np.int64)
+        ends = np.searchsorted(block, np.arange((1 << BLOCK_BITS) + 1))
+        for p in np.unique(block).tolist():
+            part = slice(ends[p], ends[p + 1])
+            yield p, _pack(hashes[part], *_narrow(self.total[order[part]]))
+        yield -1, _pack(_planes(order))
+        for k, (keep, lengths, words, counts) in enumerate(self.bags):
+            ids = np.concatenate([np.zeros(0, np.int64), *(np.diff(w, prepend=0) for w in words)])
+            # A bag of several steps starts anew at each step.
+            steps = np.array([len(w) for w in words], np.int64)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, keep.schema) as out:
+                out.write_batch(keep)
+            yield (1 << BLOCK_BITS) + k, _pack(sink.getvalue().to_pybytes(), np.array(lengths, np.int64), steps, _planes(ids), _planes(np.concatenate([np.zeros(0, np.int64), *counts])))
+
+
+def _rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield tuple(b.column(c)[i].as_py() for c in names)
+
+
+def _batch(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
+    c, p, blob = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()), pa.array(p, pa.int32()), pa.array(blob, pa.binary())], names=["c", "p", "blob"])
+
+
+def _batches(rows: Iterator[tuple[str, int, bytes]], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[2])
+        if size > most:
+            yield _batch(held)
+            held, size = [], 0
+    if held:
+        yield _batch(held)
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to the rows of their chunks."""
+
+    def rows():
+        chunk, k, part = Chunk(), 0, TaskContext.get().partitionId()
+        for b in slices(batches, BAG_ROWS):
+            chunk.add(b.column(0).to_pylist(), pa.RecordBatch.from_arrays(b.columns[1:], names=b.schema.names[1:]))
+            if chunk.full():
+                yield from ((f"{part}:{k}", *r) for r in chunk.rows())
+                chunk, k = Chunk(), k + 1
+        if chunk.bags:
+            yield from ((f"{part}:{k}", *r) for r in chunk.rows())
+
+    yield from _batches(rows())
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of ``p``: blocks become the whole sums of each chunk's words; others pass."""
+
+    def rows():
+        for p, found in groupby(_rows(batches, "c", "p", "blob"), key=lambda r: r[1]):
+            if not 0 <= p < 1 << BLOCK_BITS:
+                yield from found
+                continue
+            found = list(found)
+            words, sums = np.zeros(0, np.uint64), np.zeros((0, DIM), np.int64)
+            for at in range(0, len(found), 64):
+                parts = [_unpack(r[2]) for r in found[at : at + 64]]
+                known, place = np.unique(np.concatenate([words, *(x[0] for x in parts)]), return_inverse=True)
+                more = np.zeros((len(known), DIM), np.int64)
+                more[place[: len(words)]] = sums
+                start = len(words)
+                for x in parts:
+                    more[place[start : start + len(x[0])]] += _wide(*x[1:])  # a chunk has a word once
+                    start += len(x[0])
+                words, sums = known, more
+            for c, _, blob in found:
+                yield c, p, _pack(*_narrow(sums[np.searchsorted(words, _unpack(blob)[0])]))
+
+    yield from _batches(rows())
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    return (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of ``c`` and ``p``: a chunk's word vectors, then its bags, pooled."""
+    for _, found in groupby(_rows(batches, "c", "p", "blob"), key=lambda r: r[0]):
+        vectors, order, parts = None, None, []
+        for _, p, blob in found:
+            if p == -1:
+                order = _whole(*_unpack(blob))
+            elif p < 1 << BLOCK_BITS:
+                parts.append(_unit(_wide(*_unpack(blob))))
+            else:
+                if vectors is None:
+                    vectors = np.empty((len(order), DIM), np.float32)
+                    vectors[order] = np.concatenate([np.zeros((0, DIM), np.float32), *parts])
+                    parts = []
+                kept, lengths, steps, ids, counts = _unpack(blob)
+                keep = pa.ipc.open_stream(kept).read_next_batch()
+                words, counts = np.cumsum(_whole(ids)), _whole(counts).astype(np.float64)
+                starts = np.append(0, np.cumsum(steps))[:-1]
+                if len(steps):
+                    words -= np.repeat(np.append(0, words)[starts], steps)
+                out = np.zeros((len(lengths), 2 * DIM), np.float64)
+                full = lengths > 0
+                if full.any():
+                    first = np.append(0, np.cumsum(lengths))[:-1][full]
+                    v = vectors[words]
+                    n = np.add.reduceat(counts, first)[:, None]
+                    mean = np.add.reduceat(v * counts[:, None], first, axis=0) / n
+                    spread = np.add.reduceat(v.astype(np.float64) ** 2 * counts[:, None], first, axis=0) / n - mean**2
+                    out[full] = np.hstack([mean, np.sqrt(np.maximum(spread, 0))])
+                pooled = pa.FixedSizeListArray.from_arrays(pa.array(out.astype(np.float32).ravel()), 2 * DIM).cast(pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([*keep.columns, pooled], names=[*keep.schema.names, "pooled"])
+
+
+def pool(df: DataFrame, text: Column, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and ``pooled``: mean and spread of the word vectors, which all texts of ``df`` make."""
     source = df.select(text.alias("__text"), *[F.col(f"`{c}`") for c in keep])
-    return map_batches(source, run, T.StructType([*source.schema.fields[1:], T.StructField("pooled", T.ArrayType(T.FloatType()))]))
+    source = source.coalesce(max(1, -(-source.rdd.getNumPartitions() // SPLITS)))
+    rows = "c string, p int, blob binary"
+    blocks = map_batches(source, _sums, rows).repartition("p").sortWithinPartitions("p")
+    chunks = map_batches(blocks, _merge, rows).repartition("c").sortWithinPartitions("c", "p")
+    return map_batches(chunks, _finish, T.StructType([*source.schema.fields[1:], T.StructField("pooled", T.ArrayType(T.FloatType()))]))
 
 
 class Network:
@@ -172,10 +338,10 @@ def predict(pooled: DataFrame, network: Network, keep: list[str]) -> DataFrame:
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:
     """Score and decision for every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    vectors = word_vectors(docs, F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id"), 5, 0).alias("held_out"))
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 5, 0)).where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
-    chosen = docs.join(labels, "doc_id").withColumn("k", F.xxhash64(F.col("doc_id").cast("string")))
-    network = train(pool(chosen, F.col("text"), vectors, ["k", "y"]))
-    pooled = pool(docs.withColumn("held_out", held_out(F.col("doc_id"), 5, 0)), F.col("text"), vectors, ["doc_id", "held_out"])
+    pooled = materialize(pool(docs, F.col("text"), ["doc_id", "held_out"]), "pooled")
+    # Only ids are joined at first: the vectors of the chosen rows alone are moved.
+    chosen = pooled.select("doc_id").join(labels, "doc_id").withColumn("k", F.xxhash64(F.col("doc_id").cast("string"))).orderBy("k", "y").limit(TRAIN_ROWS).distinct()
+    network = train(pooled.join(F.broadcast(chosen), "doc_id").select("k", "y", "pooled"))
     return predict(pooled, network, ["doc_id", "held_out"]).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -179,6 +179,26 @@ def test_language_forward():
     assert np.allclose(p.forward([b"ab" * 3000], probs), p._long(b"ab" * 3000, probs))
 
 
+def test_word_vectors_are_per_word(spark):
+    import numpy as np
+
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(9000)]  # more than two for each of 4096 buckets
+    texts = [" ".join(rng.choice(words[: rng.choice([50, 9000])]) for _ in range(rng.randrange(1, 300))) for _ in range(60)]
+    texts += [None, "", "x", " ".join(rng.choice(words) for _ in range(100_500)), texts[0]]
+    sums, bags = {}, [re.findall(r"\w+|[^\w\s]+", t or "") for t in texts]
+    index = {w: quality.index_vectors(np.array([quality.word_hash(w)], np.uint64))[0].astype(float) for w in set().union(*bags)}
+    for bag in bags:
+        for i, w in enumerate(bag):
+            sums[w] = sum((index[bag[j]] for j in range(max(0, i - 2), min(len(bag), i + 3)) if j != i), sums.get(w, np.zeros(quality.DIM)))
+    units = {w: v / max(np.linalg.norm(v), 1e-9) for w, v in sums.items()}
+    got = {r.doc_id: r.pooled for r in quality.pool(_docs(spark, texts).repartition(7), __import__("pyspark").sql.functions.col("text"), ["doc_id"]).collect()}
+    assert len(got) == len(texts)
+    for i, bag in enumerate(bags):
+        v = np.array([units[w] for w in bag]) if bag else np.zeros((1, quality.DIM))
+        assert np.allclose(got[i], np.hstack([v.mean(axis=0), v.std(axis=0)]), atol=1e-3)
+
+
 @pytest.mark.parametrize("name,label", [("op4_toxicity", "toxic"), ("op10_quality", "quality")])
 def test_held_out_accuracy(spark, name, label):
     d = "/root/testdata/sf0.1"  # sf0.01 has some 35 toxic rows to learn from, too few: 0.88 to 0.89 there
