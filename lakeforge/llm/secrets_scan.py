@@ -39,12 +39,19 @@ class Rule:
     least: int = 0  # of the group's characters; shorter matches are dropped
 
 
+# A private key runs to its END line, if no other block begins before it; without one, over headers and the lines of base64
+# characters only that follow (the first of 16 or more). Line ends may be written out as in JSON.
+_EOL = r"[ \t]*+(?:\r\n?|\n|(?:\\r)?\\n)[ \t]*+"
+_LINE_ENDS = r"""(?=[ \t]*+(?:[\r\n\\"']|\Z))"""
+_BODY = rf"(?:{_EOL}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:{_EOL})*+\s*+[A-Za-z0-9+/]{{16,}}+={{0,2}}+{_LINE_ENDS}(?:{_EOL}[A-Za-z0-9+/]++={{0,2}}+{_LINE_ENDS})*+"
+_PRIVATE_KEY = rf"-----BEGIN ([A-Z ]{{0,20}}PRIVATE KEY)-----(?:(?:(?!-----BEGIN )(?s:.))*?-----END \1-----|(?:{_BODY})?)"
+
 # The three base rules; then rules for well-known token formats.
 RULES = (
     Rule("assign", r"""(?ai:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE_KEY),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
