@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge.llm import byte_bpe, decontamination, ngram_join, secrets_scan, toxicity
-from lakeforge.llm.common import fresh_path, table
+from lakeforge.llm.common import fresh_path, materialize, table
 
 #: Near duplicates: five-word shingles, a similarity of 0.8 or more.
 WORDS, PERCENT = 5, 80
@@ -20,10 +20,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; rows with a null id or no words stay."""
-    found = ngram_join.near_duplicates(docs.select("doc_id", "text"), WORDS, PERCENT)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near copies one row, that with the smallest id (a null id comes last); rows with no words stay."""
+    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")  # ids may repeat or be null
+    found = ngram_join.near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text"), WORDS, PERCENT).select(F.col("doc_id").alias("__row"), "component_id")
+    found = materialize(found.join(numbered.select("__row", "doc_id"), "__row"), "found")
+    kept = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("x")).select(F.col("x.__row").alias("__row"))
+    gone = found.select("__row").join(kept, "__row", "left_anti")
+    return numbered.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
