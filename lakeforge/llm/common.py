@@ -13,14 +13,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of text in one Arrow batch sent to a Python worker. Texts of this corpus kind
-#: average a few KB; very long ones arrive at most this many at a time.
+#: Rows of text that Python holds at once. Spark sends Arrow batches by its own limits
+#: (``spark.sql.execution.arrow.maxRecordsPerBatch`` and ``maxBytesPerBatch``).
 TEXT_BATCH_ROWS = 1000
+#: Bits of a Bloom filter: fixed, so its broadcast is bounded (BLOOM / 64 rows) whatever the data.
+BLOOM = 1 << 25
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset, a local folder serves a local master; a cluster raises."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (found or f"file://{tempfile.gettempdir()}/checkpoints/lakeforge").rstrip("/")
 
 
@@ -38,7 +42,31 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = fresh_path(spark, tag)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    back = spark.read.schema(schema).parquet(path)
+    back.written_to = path  # for discard()
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these frames; nothing that is still to be read may depend on them."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bloom(hashes: DataFrame) -> DataFrame:
+    """``word, mask``: a Bloom filter over the one column, 64-bit hashes. As it fills, more pass it; none that is in it fails."""
+    name = f"`{hashes.columns[0]}`"
+    bit = hashes.selectExpr(f"shiftright({name} & {BLOOM - 1}, 6) AS word", f"shiftleft(1L, cast({name} & 63 AS int)) AS mask")
+    return bit.groupBy("word").agg(F.expr("bit_or(mask)").alias("mask"))
+
+
+def with_hit(df: DataFrame, name: str, filter_: DataFrame, flag: str) -> DataFrame:
+    """``df`` with a column ``flag``: false if the hash ``name`` is certainly not in the Bloom filter. The filter is broadcast; its size is bounded."""
+    small = F.broadcast(filter_.select(F.col("word").alias("__word"), F.col("mask").alias("__mask")))
+    found = df.join(small, F.expr(f"shiftright(`{name}` & {BLOOM - 1}, 6) = __word"), "left")
+    return found.withColumn(flag, F.expr(f"coalesce(__mask & shiftleft(1L, cast(`{name}` & 63 AS int)) <> 0, false)")).drop("__word", "__mask")
 
 
 _shipped: set[str] = set()
