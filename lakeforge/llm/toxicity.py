@@ -7,8 +7,10 @@ As the softmax is linear, a word's share of the logit is found once and remember
 
 The model is fitted on at most TRAIN_ROWS labelled rows (chosen by a hash of the id);
 scoring reads every whole text. Defined results: null, empty and wordless texts score
-the prior's bias; repeated rows get equal scores; without labels of both classes every
-score is the share of label 1 (0 with none); an empty table gives an empty table.
+the prior's bias; repeated rows get equal scores, also very long ones, which are scored
+whole; null ids are scored but never learned from; without labels of both classes every
+score is the share of label 1 (0 with none); an empty table gives an empty table. Other
+columns are kept; one named like the score is an error unless another name is given.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, map_batches, slices, table
+from .common import discard, held_out, map_batches, materialize, slices, table
 
 #: Most labelled rows the model is fitted on, half of them at most of label 1.
 TRAIN_ROWS = 6000
@@ -46,7 +48,26 @@ def subwords(word: str) -> list[int]:
     return [zlib.crc32(g.encode("utf-8", "surrogatepass")) & (BUCKETS - 1) for g in grams]
 
 
-def fit(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
+class Bags:
+    """Texts as bags of buckets, in flat arrays: the buckets and counts of text i are from ``ends[i]`` to ``ends[i + 1]``."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
+        self.ends = np.cumsum([0, *(len(ids) for ids, _ in rows)])
+        self.ids = np.concatenate([np.zeros(0, np.uint16), *(ids for ids, _ in rows)])
+        self.shares = np.concatenate([np.zeros(0, np.float32), *(SCALE * n / max(n.sum(), 1) for _, n in rows)]).astype(np.float32)
+
+
+def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text, in order, and how often each occurs."""
+    c: Counter[int] = Counter()
+    for w, n in Counter(_words(text.lower())).items():
+        for g in subwords(w):
+            c[g] += n
+    ids = np.sort(np.fromiter(c.keys(), np.uint16, len(c)))
+    return ids, np.array([c[i] for i in ids.tolist()], np.float32)
+
+
+def fit(bags: Bags, y: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
     """Per-bucket logits and the bias, from embeddings and softmax trained together by Adagrad."""
     share = float(y.mean()) if len(y) else 0.0
     if not len(y) or share in (0.0, 1.0):
@@ -56,17 +77,20 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 7)
     soft = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32)
     bias = np.log(np.array([1 - share, share], np.float32))
     ge, gs, gb = np.full((BUCKETS, 1), 1e-6, np.float32), np.full_like(soft, 1e-6), np.full_like(bias, 1e-6)
+    place, lengths = np.zeros(BUCKETS, np.int64), np.diff(bags.ends)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         order = rng.permutation(len(y))
         for at in range(0, len(y), BATCH):
             rows = order[at : at + BATCH]
-            ids = np.concatenate([bags[i][0] for i in rows])
-            who = np.repeat(np.arange(len(rows)), [len(bags[i][0]) for i in rows])
-            share_of = np.concatenate([SCALE * bags[i][1] / max(bags[i][1].sum(), 1) for i in rows]).astype(np.float32)
-            used, local = np.unique(ids, return_inverse=True)
-            x = np.zeros((len(rows), len(used)), np.float32)
-            x[who, local] = share_of
+            spans = [slice(bags.ends[i], bags.ends[i + 1]) for i in rows]
+            ids = np.concatenate([bags.ids[s] for s in spans])
+            seen = np.zeros(BUCKETS, bool)
+            seen[ids] = True
+            used = np.flatnonzero(seen)
+            place[used] = np.arange(len(used))
+            x = np.zeros((len(rows), len(used)), np.float32)  # a batch's rows and buckets: bounded
+            x[np.repeat(np.arange(len(rows)), lengths[rows]), place[ids]] = np.concatenate([bags.shares[s] for s in spans])
             own = emb[used]
             h = x @ own
             z = h @ soft + bias
@@ -85,30 +109,40 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 7)
     return (SCALE * emb @ w).astype(np.float32), float(bias[1] - bias[0])
 
 
-def learn(df: DataFrame, text: Column, label: Column, key: Column) -> tuple[np.ndarray, float]:
-    """The model from at most TRAIN_ROWS rows with a label."""
-    source = df.select(text.alias("t"), label.cast("int").alias("y"), F.xxhash64(key.cast("string")).alias("k")).where("y in (0, 1)")
-    chosen = source.where("y = 1").orderBy("k").limit(TRAIN_ROWS // 2).unionByName(source.where("y = 0").orderBy("k").limit(TRAIN_ROWS // 2))
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
+    """The model of ``doc_id, text`` and ``doc_id, y``, from at most TRAIN_ROWS ids that both have.
+
+    The ids are chosen from ids alone and broadcast (their number is bounded), so no text is shuffled;
+    bags are made where the texts are read. Of an id's several texts the one of the smallest hash counts.
+    """
+    known = materialize(labels.where("y IN (0, 1)").join(docs.select("doc_id"), "doc_id", "left_semi").withColumn("k", F.xxhash64(F.col("doc_id").cast("string"))), "labels")
+    chosen = known.where("y = 1").orderBy("k", "doc_id").limit(TRAIN_ROWS // 2).unionByName(known.where("y = 0").orderBy("k", "doc_id").limit(TRAIN_ROWS // 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 100):
-            ids, counts = [], []
+            packed = []
             for t in b.column(0):
-                c: Counter[int] = Counter()
-                for w, n in Counter(_words((t.as_py() or "").lower())).items():
-                    for g in subwords(w):
-                        c[g] += n
-                ids.append(np.fromiter(c.keys(), np.int32, len(c)))
-                counts.append(np.fromiter(c.values(), np.float32, len(c)))
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))], names=["y", "k", "ids", "n"])
-
-    rows = map_batches(chosen, run, "y int, k long, ids array<int>, n array<float>").toArrow().to_pandas().sort_values(["k", "y"])
-    counts = source.groupBy("y").count().collect()
-    total = {r["y"]: r["count"] for r in counts}
-    weights, bias = fit(list(zip(rows["ids"], rows["n"], strict=True)), rows["y"].to_numpy(np.int64))
+                ids, counts = bag(t.as_py() or "")
+                packed.append(zlib.compress(ids.tobytes() + counts.tobytes(), 1))
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(packed, pa.binary())], names=["doc_id", "y", "k", "h", "bag"])
+
+    texts = docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("doc_id"), "y", "k", F.xxhash64("text").alias("h"))
+    schema = T.StructType([f for f in texts.schema.fields if f.name != "text"] + [T.StructField("bag", T.BinaryType())])
+    one = map_batches(texts, run, schema).groupBy("doc_id", "k", "y").agg(F.min(F.struct("h", "bag")).alias("x"))
+    rows = one.orderBy("k", "doc_id").select("y", "x.bag").toArrow()
+    y, unpacked = rows["y"].to_numpy().astype(np.int64), []
+    for blob in rows["bag"]:
+        raw = zlib.decompress(blob.as_py())
+        n = len(raw) // 6
+        unpacked.append((np.frombuffer(raw, np.uint16, n), np.frombuffer(raw, np.float32, n, 2 * n)))
+    del rows
+    bags = Bags(unpacked)
+    del unpacked
+    weights, bias = fit(bags, y)
+    total = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    discard(known)
     if len(total) == 2:  # the sample is balanced more than the labels are
-        got = rows["y"].value_counts()
-        bias += float(np.log(total[1] / total[0]) - np.log(got[1] / got[0]))
+        bias += float(np.log(total[1] / total[0]) - np.log(max(y.sum(), 1) / max((1 - y).sum(), 1)))
     return weights, bias
 
 
@@ -142,8 +176,8 @@ def score(df: DataFrame, text: Column, model: tuple[np.ndarray, float], keep: li
 
 def trained(spark, docs: DataFrame, sf_dir: str) -> tuple[np.ndarray, float]:
     """The model of the rows that aren't held out. ``labels`` has an id a row at most; of repeated ids, the largest label counts."""
-    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 4, 2)).groupBy("doc_id").agg(F.max("toxic").alias("__y"))
-    return learn(docs.select("doc_id", "text").join(labels, "doc_id"), F.col("text"), F.col("__y"), F.col("doc_id"))
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 4, 2)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
+    return learn(docs.select("doc_id", "text"), labels)
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
