@@ -7,7 +7,8 @@ candidate pairs over a doubly linked list, lowest rank first, leftmost first.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; text
 that looks like a special token is ordinary text; repeated rows give repeated
-results; an empty table gives an empty table. Other columns are kept as they are.
+results; an empty table gives an empty table. Other columns are kept as they are. A text
+is encoded whole, whatever its length.
 """
 
 from __future__ import annotations
@@ -29,15 +30,13 @@ from pyspark.sql import types as T
 
 from .common import map_batches, slices
 
-#: Most pre-token chunks a worker remembers, and the longest chunk it remembers.
-MEMO_ENTRIES, MEMO_CHARS = 200_000, 64
+#: Pre-tokens that a worker remembers twice over (this generation and the last), and the longest of them.
+MEMO_ENTRIES, MEMO_CHARS = 600_000, 64
+#: Texts whose ids stand in one array.
+BATCH_ROWS = 200
 #: Steps are taken modulo a prime over the number of slots, so that a step shared with it can't keep a bucket from free slots.
 PRIME = (1 << 31) - 1
 
-# The characters with Unicode's White_Space property.
-WHITE_SPACE = "\t-\r \x85\xa0  -     　"
-
-
 def read_ranks(path: str) -> list[bytes]:
     """The tokens of a rank file by rank."""
     with open(path, "rb") as f:
@@ -100,67 +99,95 @@ class PerfectHash:
         return i if self.keys[i] == key else -1
 
 
+def quick_split(pattern: str):
+    """The same split by the standard ``re``, which is quicker, and a search for characters that it takes otherwise.
+
+    Python's ``re`` has no letter and number properties; its nearest classes stand in for them. The two modules'
+    classes are compared over the basic plane; a text with a character that falls in other ones, or beyond that plane, takes the slow way.
+    """
+    near = {r"\p{L}": r"[^\W\d_]", r"\p{N}": r"\d", r"[^\s\p{L}\p{N}]": r"(?:[^\s\w]|_)", r"\s": r"\s", r"\S": r"\S"}
+    plain = pattern.replace(r"[^\s\p{L}\p{N}]", near[r"[^\s\p{L}\p{N}]"]).replace(r"\p{L}", near[r"\p{L}"]).replace(r"\p{N}", near[r"\p{N}"])
+    if re.search(r"\\[pPwWdDbBX]|\[", plain.replace(r"[^\W\d_]", "").replace(r"(?:[^\s\w]|_)", "").replace(r"\d", "")):
+        return None, None  # a pattern of another kind
+    every = "".join(chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000)
+    odd = sorted(map(ord, set().union(*(set(re.findall(b, every)) ^ set(regex.findall(a, every)) for a, b in near.items()))))
+    runs = [g for g in np.split(np.array(odd), np.flatnonzero(np.diff(odd) > 1) + 1) if len(g)]
+    inside = "".join(f"\\u{g[0]:04x}-\\u{g[-1]:04x}" for g in runs)
+    return re.compile(plain).findall, re.compile(f"[{inside}\\ud800-\\udfff\\U00010000-\\U0010ffff]").search
+
+
 class ByteBPE:
     """Encoder and decoder over the tokens of a rank file; ``pattern`` splits text into pre-tokens."""
 
     def __init__(self, tokens: list[bytes], pattern: str, arrays: tuple[np.ndarray, np.ndarray] | None = None):
-        self.tokens, self.pattern = tokens, regex.compile(pattern)
+        self.tokens, self.findall = tokens, regex.compile(pattern).findall
+        self.quick, self.odd = quick_split(pattern)
         self.hash = PerfectHash(tokens, *(arrays or (None, None)))
         # Tier two asks for the ranks of many short pieces, most of them no tokens; a plain dict is quickest for these.
         self.ranks = {t: i for i, t in enumerate(tokens) if t}
-        # A chunk is one white space character at most and what follows up to the next; pre-tokens never cross its ends.
-        self.chunks = re.compile(f"[{WHITE_SPACE}]?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?=[{WHITE_SPACE}][^{WHITE_SPACE}])|[{WHITE_SPACE}]+").findall
+        self.column = pa.array(tokens, pa.binary())
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.last: dict[str, tuple[int, ...]] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of a pre-token that is no vocabulary entry."""
         n, rank_of = len(piece), self.ranks.get
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # starts of the next and the previous part
-        heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := rank_of(piece[i : i + 2])) is not None]
+        after, before = list(range(1, n + 2)), list(range(-1, n))  # starts of the next and the previous part
+        # A heap entry is rank, start and end in one whole number; it is stale if its part has grown or gone meanwhile.
+        bits = (n + 1).bit_length()
+        low = (1 << bits) - 1
+        heap = [((rank << bits | i) << bits) | i + 2 for i in range(n - 1) if (rank := rank_of(piece[i : i + 2])) is not None]
         heapq.heapify(heap)
         pop, push = heapq.heappop, heapq.heappush
-        live = bytearray(b"\x01" * n)
         while heap:
-            _, at, end = pop(heap)
-            if not live[at] or (mid := after[at]) >= n or after[mid] != end:
+            entry = pop(heap)
+            at, end = entry >> bits & low, entry & low
+            if not 0 <= (mid := after[at]) < n or after[mid] != end:
                 continue
-            live[mid], after[at] = 0, end
+            after[at], after[mid], before[end] = end, -1, at
             if end < n:
-                before[end] = at
                 far = after[end]
                 if (rank := rank_of(piece[at:far])) is not None:
-                    push(heap, (rank, at, far))
+                    push(heap, ((rank << bits | at) << bits) | far)
             if (left := before[at]) >= 0 and (rank := rank_of(piece[left:end])) is not None:
-                push(heap, (rank, left, end))
+                push(heap, ((rank << bits | left) << bits) | end)
         out, at = [], 0
         while at < n:
             out.append(self.ranks[piece[at : after[at]]])
             at = after[at]
         return out
 
-    def encode_pretoken(self, pretoken: str) -> list[int]:
+    def encode_pretoken(self, pretoken: str) -> tuple[int, ...]:
         piece = pretoken.encode("utf-8", "surrogatepass")
         rank = self.hash.find(piece)
-        return [rank] if rank >= 0 else self.merge(piece)
-
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        ids = tuple(chain.from_iterable(map(self.encode_pretoken, self.pattern.findall(chunk))))
-        if len(chunk) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO_ENTRIES:
-                self.memo.clear()
-            self.memo[chunk] = ids
-        return ids
+        return (rank,) if rank >= 0 else tuple(self.merge(piece))
 
     def encode(self, text: str) -> list[int]:
-        get, ids = self.memo.get, []
-        for chunk in self.chunks(text):
-            found = get(chunk)
-            ids += self._chunk(chunk) if found is None else found
+        return self.encode_array(text).tolist()
+
+    def encode_array(self, text: str) -> np.ndarray:
+        words = (self.findall if self.quick is None or self.odd(text) else self.quick)(text)
+        if len(self.memo) >= MEMO_ENTRIES:
+            self.memo, self.last = {}, self.memo
+        memo, last, long = self.memo, self.last, []
+        for w in set(words).difference(memo):
+            memo[w] = last.get(w) or self.encode_pretoken(w)
+            if len(w) > MEMO_CHARS:
+                long.append(w)
+        ids = np.fromiter(chain.from_iterable(map(memo.__getitem__, words)), np.int32)
+        for w in long:
+            del memo[w]
         return ids
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_column(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The bytes of runs of ids, each ending before ``ends``, which starts with 0."""
+        bytes_ = self.column.take(pa.array(ids))
+        offsets = np.frombuffer(bytes_.buffers()[1], np.int32, len(ids) + 1) if len(ids) else np.zeros(1, np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets[ends].astype(np.int32)), bytes_.buffers()[2]])
+
 
 _coder: dict[str, ByteBPE] = {}
 
@@ -195,15 +222,11 @@ def encode_decode(df: DataFrame, text: Column, path: str, pattern: str, keep: li
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(shared)
-        for b in slices(batches):
-            all_ids, decoded, ends = [], [], [0]
-            for value in b.column(0):
-                ids = bpe.encode(value.as_py() or "")
-                all_ids.append(np.array(ids, np.int32))
-                ends.append(ends[-1] + len(ids))
-                decoded.append(bpe.decode(ids))
-            ids = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.concatenate(all_ids) if all_ids else np.zeros(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], ids, pa.array(decoded, pa.binary())], names=[*keep, ids_col, decoded_col])
+        for b in slices(batches, BATCH_ROWS):
+            found = [bpe.encode_array(value.as_py() or "") for value in b.column(0)]
+            ends, flat = np.cumsum([0, *map(len, found)]), np.concatenate([np.zeros(0, np.int32), *found])
+            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], ids, bpe.decode_column(flat, ends)], names=[*keep, ids_col, decoded_col])
 
     source = df.select(text.alias("__text"), *[F.col(f"`{c}`") for c in keep])
     fields = [f for f in source.schema.fields[1:]] + [T.StructField(ids_col, T.ArrayType(T.IntegerType())), T.StructField(decoded_col, T.BinaryType())]
