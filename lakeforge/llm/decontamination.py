@@ -136,8 +136,8 @@ class Benchmark:
                                 best[g.ids[i]] = (low / high, start, g.words)
 
 
-def find_items(df: DataFrame, text: str, benchmark: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and ``matches``: item, first word, words and similarity, by item."""
+def find_items(df: DataFrame, text: str, benchmark: DataFrame, keep: list[str], name: str = "matches") -> DataFrame:
+    """The columns ``keep`` and ``name``: item, first word, words and similarity, by item."""
     spark = df.sparkSession
     items = benchmark.select("item_id", "text").limit(MOST_ITEMS + 1).collect()
     if len(items) > MOST_ITEMS:
@@ -149,10 +149,10 @@ def find_items(df: DataFrame, text: str, benchmark: DataFrame, keep: list[str])
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("words", pa.int64()), ("similarity", pa.float64())]))
         for b in slices(batches, 500):
             out = [[dict(zip(("item_id", "start", "words", "similarity"), m, strict=True)) for m in shared.value.matches(t.as_py() or "", memo)] for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(out, kind)], names=[*keep, "matches"])
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(out, kind)], names=[*keep, name])
 
     source = df.select(F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in keep])
-    more = T._parse_datatype_string("matches array<struct<item_id: long, start: long, words: long, similarity: double>>")
+    more = T._parse_datatype_string(f"`{name}` array<struct<item_id: long, start: long, words: long, similarity: double>>")
     return map_batches(source, run, T.StructType([*source.schema.fields[1:], *more.fields]))
 
 
