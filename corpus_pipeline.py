@@ -1,4 +1,10 @@
-"""The corpus pipeline: five stages over documents, each on all that its predecessor kept."""
+"""The corpus pipeline: five stages over documents, each on all that its predecessor kept.
+
+Defined results, for every stage: null ids and repeated ids are rows like others; null and
+empty texts are kept (they are neither toxic nor copies nor contaminated); texts of any
+length are taken whole; further columns, of any name, pass through all stages but the last;
+an empty table gives an empty table. ``n_chars`` follows the redacted text where it exists.
+"""
 
 from __future__ import annotations
 
@@ -7,37 +13,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge.llm import byte_bpe, decontamination, ngram_join, secrets_scan, toxicity
-from lakeforge.llm.common import fresh_path, materialize, table
+from lakeforge.llm.common import bloom, fresh_path, materialize, table, with_hit
 
 #: Near duplicates: five-word shingles, a similarity of 0.8 or more.
 WORDS, PERCENT = 5, 80
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that no column of ``docs`` has, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't call toxic."""
+    """Documents that the classifier doesn't call toxic; ones without words have the prior's score."""
     model = toxicity.trained(spark, docs, sf_dir)
-    return toxicity.score(docs, F.col("text"), model, docs.columns, "__toxic").where(F.col("__toxic") < toxicity.THRESHOLD).drop("__toxic")
+    score = _unused(docs, "toxic_score")
+    return toxicity.score(docs, F.col("text"), model, docs.columns, score).where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one row, that with the smallest id (a null id comes last); rows with no words stay."""
-    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")  # ids may repeat or be null
-    found = ngram_join.near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text"), WORDS, PERCENT).select(F.col("doc_id").alias("__row"), "component_id")
-    found = materialize(found.join(numbered.select("__row", "doc_id"), "__row"), "found")
-    kept = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("x")).select(F.col("x.__row").alias("__row"))
-    gone = found.select("__row").join(kept, "__row", "left_anti")
-    return numbered.join(gone, "__row", "left_anti").select(*docs.columns)
+    """Of each group of near copies one row, that with the smallest id (a null id comes last); rows with no words stay.
+
+    Rows are found again by a hash of id and text. Only those that a Bloom filter takes for
+    members of groups are joined, so most texts aren't moved. Of rows equal in id and text
+    any one stands for all.
+    """
+    found = ngram_join.link_rows(docs, WORDS, PERCENT)
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("x"), F.count("*").alias("c")).where("c > 1").select("component", F.col("x.key").alias("stays"))
+    verdict = materialize(found.join(best, "component").groupBy("h").agg(F.max(F.col("key") == F.col("stays")).alias("stays")), "verdict")
+    h, hit, stays = (_unused(docs, name) for name in ("row_hash", "row_hit", "row_stays"))
+    hashed = with_hit(docs.withColumn(h, F.xxhash64("doc_id", "text")), h, bloom(verdict.select("h")), hit)
+    looked = hashed.where(F.col(hit)).join(verdict.select(F.col("h").alias(h), F.col("stays").alias(stays)), h, "left")
+    kept = looked.where(F.col(stays).isNull()).select(*docs.columns).unionByName(looked.where(stays).dropDuplicates([h]).select(*docs.columns))
+    return hashed.where(~F.col(hit)).select(*docs.columns).unionByName(kept)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontamination.find_items(docs, "text", table(spark, sf_dir, "benchmark"), docs.columns)
-    return found.where(F.size("matches") == 0).drop("matches")
+    matches = _unused(docs, "matches")
+    found = decontamination.find_items(docs, "text", table(spark, sf_dir, "benchmark"), docs.columns, matches)
+    return found.where(F.size(matches) == 0).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced in their texts; ``n_chars`` follows the text."""
-    return secrets_scan.redact(docs, "text").withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """All documents, with secrets replaced in their texts; ``n_chars``, if there is one, follows the text."""
+    clean = secrets_scan.redact(docs, "text")
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
