@@ -48,7 +48,7 @@ def lsn_text(c: Column) -> Column:
 
 
 #: Source types that Spark names otherwise; those with a size are read by their stem.
-_TYPES = {"varchar": "string", "nvarchar": "string", "char": "string", "text": "string", "datetime": "timestamp", "datetime2": "timestamp", "money": "decimal(19,4)", "smallmoney": "decimal(10,4)", "bit": "boolean", "geography": "string", "int": "int", "bigint": "bigint", "float": "double", "date": "date"}
+_TYPES = {"varchar": "string", "nvarchar": "string", "char": "string", "text": "string", "datetime": "timestamp", "datetime2": "timestamp", "money": "decimal(19,4)", "smallmoney": "decimal(10,4)", "bit": "boolean", "geography": "string", "nchar": "string", "ntext": "string", "xml": "string", "uniqueidentifier": "string", "time": "string", "tinyint": "smallint", "smallint": "smallint", "real": "float", "smalldatetime": "timestamp", "datetimeoffset": "timestamp", "binary": "binary", "varbinary": "binary", "image": "binary", "timestamp": "binary", "rowversion": "binary", "int": "int", "bigint": "bigint", "float": "double", "date": "date"}
 
 
 def source_type(name: str) -> str:
@@ -59,3 +59,18 @@ def source_type(name: str) -> str:
     if stem not in _TYPES:
         raise ValueError(f"unknown source type {name!r}")
     return _TYPES[stem]
+
+
+def strip_nbsp(c: Column) -> Column:
+    """Without outer blanks, non-breaking spaces counting as blanks."""
+    return F.trim(F.regexp_replace(c, "\u00a0", " "))
+
+
+def reordered(names: list[str], first: list[str]) -> list[str]:
+    """The columns with those of ``first`` that exist in front."""
+    front = [c for c in first if c in names]
+    return front + [c for c in names if c not in front]
+
+
+def without_prefix(names: list[str], prefix: str) -> list[str]:
+    return [c for c in names if not c.startswith(prefix)]

@@ -6,6 +6,9 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
+
+from .functions import lsn_text
 
 #: Marks of a first extract.
 START = {"watermark": "1900-01-01T00:00:00Z", "cdc": "0x0"}
@@ -28,15 +31,36 @@ def next_query(config: dict, state: dict | None = None) -> str:
             raise ValueError(f"ingest type {kind} needs sourceWatermarkIdentifier")
         same = state is not None and state.get("identifier") == column and state.get("value") is not None
         mark = state["value"] if same else START[kind]
-        parts.append(f"{column} > " + (f"CAST('{mark}' AS timestamp)" if kind == "watermark" else mark))
+        if kind == "cdc" and not re.fullmatch(r"0x[0-9A-Fa-f]+", str(mark)):
+            raise ValueError(f"not a log position: {mark!r}")
+        quoted = str(mark).replace("'", "''")
+        parts.append(f"{column} > " + (f"CAST('{quoted}' AS timestamp)" if kind == "watermark" else mark))
     if extra := predicate(config.get("filterExpression")):
         parts.append(f"({extra})")
     where = f" WHERE {' AND '.join(parts)}" if parts else ""
-    return f"SELECT {', '.join(config.get('columns') or ['*'])} FROM {config['table']}{where}"
+    top = f"TOP({int(config['top'])}) " if config.get("top") else ""
+    return f"SELECT {top}{', '.join(config.get('columns') or ['*'])} FROM {config['table']}{where}"
+
+
+def needs_state(config: dict) -> bool:
+    """Only databases that are read by a mark, with a query made anew each time, keep a state."""
+    return config.get("sourceType") == "database" and config.get("ingestType") in START and bool(config.get("dynamicQuery"))
+
+
+def net_change_query(table: str, keys: list[str], position: str, since: str, top: int | None = None) -> str:
+    """The source's own query for the last change of each key after a log position, with delete and current flags."""
+    if not re.fullmatch(r"0x[0-9A-Fa-f]+", since):
+        raise ValueError(f"not a log position: {since!r}")
+    limit = f"TOP({int(top)}) " if top else ""
+    return (
+        f"WITH ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(keys)} ORDER BY {position} DESC) AS rn FROM {table} WHERE {position} > {since}) "
+        f"SELECT {limit}*, CASE WHEN operation = 'delete' THEN 1 ELSE 0 END AS is_deleted, CASE WHEN operation = 'delete' THEN 0 ELSE 1 END AS is_current FROM ranked WHERE rn = 1"
+    )
 
 
 def advance(df: DataFrame, column: str, state: dict | None = None) -> dict:
-    """The state after a committed load; an empty batch keeps the old mark."""
-    top = df.agg(F.max(column).cast("string")).first()[0]
+    """The state after a committed load; an empty batch keeps the old mark. A binary mark is kept as 0x and hex digits."""
+    top = F.max(column)
+    top = df.agg(lsn_text(top) if isinstance(df.schema[column].dataType, BinaryType) else top.cast("string")).first()[0]
     old = state if state and state.get("identifier") == column else {"identifier": column, "value": None}
     return old if top is None else {"identifier": column, "value": top}

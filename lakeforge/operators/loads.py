@@ -8,10 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def row_hash(columns: list[str]):
-    """A digest of the columns; null and empty differ."""
-    parts = [F.concat(F.lit("v"), F.col(c).cast("string")) for c in columns]
-    return F.md5(F.concat_ws("|", *[F.coalesce(p, F.lit("n")) for p in parts]))
+def _meets(keys: list[str], a: str, b: str):
+    """Equal keys; a null meets a null, so a replayed batch finds its own rows again."""
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
+    return on
+
+
+def _without(df: DataFrame, keys_of: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key the other frame doesn't have."""
+    return df.alias("d").join(keys_of.select(*keys).alias("k"), _meets(keys, "d", "k"), "left_anti")
+
+
+def single(source: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """The source, or an error if a key repeats; only keys are grouped."""
+    n = source.groupBy(*keys).agg(F.count("*").alias("__n"))
+    checked = n.select(*keys, F.when(F.col("__n") > 1, F.raise_error(f"{what}: several source rows for one key").cast("int")).otherwise(1).alias("__one"))
+    return source.alias("s").join(checked.alias("o"), _meets(keys, "s", "o")).where("__one = 1").select("s.*")
 
 
 def overwrite(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -23,21 +37,53 @@ def append(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def append_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    return append(target, source.join(target.select(*keys), keys, "left_anti"), keys)
+    """Source rows of keys that the target doesn't have, null keys included, added."""
+    return append(target, _without(source, target, keys), keys)
 
 
 def overwrite_by_key(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    return append(target.join(source.select(*keys).distinct(), keys, "left_anti"), source, keys)
+    """The target's rows of the source's keys, null keys included, replaced."""
+    return append(_without(target, source, keys), source, keys)
+
 
+def _columns(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both frames with the columns of either (the target's first); what one hasn't is null."""
+    kinds = {f.name: f.dataType for f in [*source.schema, *target.schema]}
+    names = target.columns + [c for c in source.columns if c not in target.columns]
+    return tuple(df.select(*[(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in names]) for df in (target, source))
 
-def merge(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Changed rows updated, new ones inserted, the rest kept. A key repeated in the source is an error."""
-    values = [c for c in target.columns if c not in keys]
-    one = F.when(F.count("*") > 1, F.raise_error("merge: several source rows for one key")).otherwise(F.first(F.struct(*values)))
-    s = source.groupBy(*keys).agg(one.alias("__s"))
-    t = target.select(*keys, F.struct(*values).alias("__t"), F.lit(True).alias("__had"))
-    both = t.join(s, keys, "full_outer")
-    return both.select(*keys, *[F.when(F.col("__s").isNotNull(), F.col(f"__s.{c}")).otherwise(F.col(f"__t.{c}")).alias(c) for c in values])
+
+def merge(target: DataFrame, source: DataFrame, keys: list[str], changed: list[str] | None = None) -> DataFrame:
+    """Rows of the source's keys updated, new ones inserted, the rest kept; new columns are added.
+
+    With ``changed`` a row is updated only if one of these columns differs (null-safe). A null key
+    meets a null key. A key repeated in the source is an error. A target column that the source
+    hasn't keeps its value.
+    """
+    own = set(source.columns)
+    target, source = _columns(target, source)
+    s = single(source, keys, "merge").select(F.struct(*source.columns).alias("s"))
+    both = target.select(F.struct(*target.columns).alias("t")).join(s, _meets(keys, "t", "s"), "full_outer")
+    differs = F.lit(changed is None)
+    for c in changed or ():
+        differs = differs | ~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}"))
+    take = F.col("s").isNotNull() & (F.col("t").isNull() | differs)
+    both = both.withColumn("__take", take)
+    return both.select(*[(F.when(F.col("__take"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in own else F.col(f"t.{c}")).alias(c) for c in target.columns])
+
+
+def update_matched(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """The target's rows with the source's non-null values where keys meet (null meets null); nothing is inserted."""
+    values = [c for c in source.columns if c not in keys]
+    s = single(source, keys, "update_matched").select(*keys, F.struct(*values).alias("__s"))
+    both = target.alias("t").join(s.alias("s"), _meets(keys, "t", "s"), "left")
+    return both.select(*[(F.coalesce(F.col(f"__s.{c}"), F.col(f"t.{c}")) if c in values else F.col(f"t.{c}")).alias(c) for c in target.columns])
+
+
+def update_where(target: DataFrame, condition, values: dict) -> DataFrame:
+    """UPDATE .. SET .. WHERE: new values where the condition holds (unknown: it doesn't)."""
+    holds = F.coalesce(condition, F.lit(False))
+    return target.withColumns({c: F.when(holds, v).otherwise(F.col(c)) for c, v in values.items()})
 
 
 def merge_guarded(target: DataFrame, source: DataFrame, keys: list[str], keep: list[str] = ("dl_createddateutc",), hash_column: str = "dl_rowhash", null_safe: bool = False) -> DataFrame:
@@ -88,14 +134,16 @@ def scd2(target: DataFrame, source: DataFrame, keys: list[str], columns: list[st
     """History of versions: ``active_start, active_end, is_current`` beside the columns.
 
     Changed current rows end at ``now`` and get a new version, new keys get their
-    first, equal rows and keys missing from the source stay. The source has one row a key.
+    first, equal rows and keys missing from the source stay. A key repeated in the source is an error.
     """
     same = F.lit(True)
     for c in columns:
         same = same & F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}"))
-    s = source.select(*keys, F.struct(*columns).alias("s"))
-    current = target.where("is_current = 1")
-    both = current.select(*keys, F.struct(*target.columns).alias("t")).join(s, keys, "full_outer")
+    # A null key meets a null key, so a replayed batch adds no version.
+    s = single(source, keys, "scd2").select(F.struct(*keys, *columns).alias("s"))
+    current = target.where("is_current = 1").select(F.struct(*target.columns).alias("t"))
+    both = current.join(s, _meets(keys, "t", "s"), "full_outer")
+    both = both.select(*[F.when(F.col("t").isNotNull(), F.col(f"t.{k}")).otherwise(F.col(f"s.{k}")).alias(k) for k in keys], "t", "s")
     fresh = F.col("s").isNotNull() & (F.col("t").isNull() | ~same)
     ended = F.col("t").isNotNull() & F.col("s").isNotNull() & ~same
     old = F.when(F.col("t").isNotNull(), F.struct(*[F.col(f"t.{c}").alias(c) for c in columns], F.col("t.active_start").alias("active_start"), F.when(ended, now).otherwise(F.col("t.active_end")).alias("active_end"), F.when(ended, 0).otherwise(1).alias("is_current")))
@@ -104,17 +152,31 @@ def scd2(target: DataFrame, source: DataFrame, keys: list[str], columns: list[st
     return target.where("is_current = 0").select(rows.columns).unionByName(rows)
 
 
+def scd2_synced(target: DataFrame, source: DataFrame, keys: list[str], now) -> DataFrame:
+    """``scd2`` after both sides got the same columns: a plain target becomes a first version, new source columns are added."""
+    marks = {"active_start": F.lit(None).cast("timestamp"), "active_end": F.lit(None).cast("timestamp"), "is_current": F.lit(1)}
+    target = target.withColumns({c: v for c, v in marks.items() if c not in target.columns})
+    plain = [c for c in target.columns if c not in marks]
+    wide, source = _columns(target.select(*plain), source)
+    added = [c for c in wide.columns if c not in plain]
+    target = target.withColumns({c: F.lit(None).cast(wide.schema[c].dataType) for c in added})
+    return scd2(target, source, keys, [c for c in wide.columns if c not in keys], now)
+
+
 def capture_deletions(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of the target that the source no longer has."""
-    return target.join(source.select(*keys), keys, "left_anti").select(*keys)
+    """Keys of the target that the source no longer has (a null meets a null)."""
+    return _without(target, source, keys).select(*keys)
 
 
-STRATEGIES: dict[str, Callable[[DataFrame, DataFrame, list[str]], DataFrame]] = {f.__name__: f for f in (overwrite, append, append_new, overwrite_by_key, merge)}
+#: Strategies by name; what stands after the keys are options of ``load``.
+STRATEGIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (overwrite, append, append_new, overwrite_by_key, merge, merge_guarded, update_matched, cdc_apply, scd2, scd2_synced)}
+#: Strategies that only add rows; a store needn't rewrite the table for them.
+ADDING = {"append": lambda target, source, keys: source, "append_new": lambda target, source, keys: _without(source, target, keys)}
 
 
-def load(name: str, target: DataFrame | None, source: DataFrame, keys: list[str]) -> DataFrame:
+def load(name: str, target: DataFrame | None, source: DataFrame, keys: list[str], **options) -> DataFrame:
     """Apply a strategy by name (``X`` or ``X_load``); without a target it is a first load."""
     plain = name.lower().removesuffix("_load")
     if plain not in STRATEGIES:
         raise ValueError(f"unknown load strategy {name!r}")
-    return source if target is None else STRATEGIES[plain](target, source, keys)
+    return source if target is None else STRATEGIES[plain](target, source, keys, **options)

@@ -10,10 +10,11 @@ def as_of(left: DataFrame, right: DataFrame, key: str, left_time: str, right_tim
     """Each left row with the value of the latest right row of its key at or before its time.
 
     Both sides are unioned and the last right value carried forward, so no pairs are made.
+    Of right rows of equal time the largest value counts.
     """
     l = left.withColumns({"__t": F.col(left_time), "__side": F.lit(1), "__v": F.lit(None).cast(right.schema[value].dataType)})
     r = right.select(key, F.col(right_time).alias("__t"), F.lit(0).alias("__side"), F.col(value).alias("__v"))
-    w = Window.partitionBy(key).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(key).orderBy("__t", "__side", "__v").rowsBetween(Window.unboundedPreceding, 0)
     both = l.unionByName(r, allowMissingColumns=True).withColumn(name, F.last("__v", ignorenulls=True).over(w))
     return both.where("__side = 1").select(*left.columns, name)
 

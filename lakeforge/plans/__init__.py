@@ -8,7 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import loads
 from ..store import TableStore
 
 
@@ -41,8 +40,7 @@ def run_spec(spark: SparkSession, spec: dict, store: TableStore) -> int:
     target, how, keys = spec["target"], spec.get("load", "overwrite"), spec.get("keys", [])
     sources = {s.get("name", s["table"]): (lambda own, t=s["table"]: TableStore(own, store.root).read(t)) for s in spec.get("sources", [])}
     out = run_queries(spark, sources, [(q["name"], q["sql"]) for q in spec["queries"]], spec.get("drop", []))
-    old = TableStore(out.sparkSession, store.root).read(target) if store.exists(target) else None
-    return store.commit(target, loads.load(how, old, out, keys), how, spec.get("batch_id"))
+    return TableStore(out.sparkSession, store.root).load(target, how, out, keys, spec.get("batch_id"), spec.get("partition_by"), **spec.get("options", {}))
 
 
 def run_groups(groups: list[list[Callable[[], object]]], workers: int = 4, retries: int = 0) -> list[list[object]]:

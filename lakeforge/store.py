@@ -1,8 +1,11 @@
-"""Versioned Parquet tables: immutable snapshots and a commit log.
-
-``<table>/data/<id>`` holds a snapshot and ``<table>/log/<version>.json`` names it. A
-version's log file is created exclusively, so of two writers one fails and can retry.
-All access goes through Hadoop's file system, so any store that Spark opens will do.
+"""Versioned Parquet tables: immutable pieces of data and a commit log.
+
+``<table>/data/<id>`` holds a piece and ``<table>/log/<version>.json`` lists the pieces of
+a version, so an append writes new rows only. A load names the version it was built from;
+if another one came since, the commit fails and the load can be done again. A version's
+log file is created exclusively, so of two writers one fails. (Stores without exclusive
+creation, as some object stores, need one writer a table.) All access goes through Hadoop's
+file system, so any store that Spark opens will do.
 """
 
 from __future__ import annotations
@@ -10,9 +13,12 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators import loads
+
 
 class ConcurrentCommit(RuntimeError):
     """Another writer committed the version first."""
@@ -50,29 +56,67 @@ class TableStore:
         return json.loads(self.spark.read.text(f"{self.root}/{name}/log/{version:020d}.json", wholetext=True).first()[0])
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}/data/{self._entry(name, version)['data']}")
+        return self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{name}/data/{piece}" for piece in self._entry(name, version)["data"]])
+
+    def newest(self, name: str) -> int | None:
+        known = self.versions(name)
+        return known[-1] if known else None
 
     def _commit(self, name: str, entry: dict) -> int:
         path = self._path(f"{self.root}/{name}/log/{entry['version']:020d}.json")
         try:
             out = self._fs(path).create(path, False)
-        except Exception as e:
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
             raise ConcurrentCommit(f"{name} version {entry['version']}") from e
         out.write(bytearray(json.dumps(entry).encode()))
         out.close()
         return entry["version"]
 
-    def commit(self, name: str, df: DataFrame, operation: str, batch_id: str | None = None, partition_by: list[str] | None = None) -> int:
-        """Write a snapshot and make it the newest version. A batch id that is in the log already changes nothing."""
-        known = self.versions(name)
-        if batch_id is not None and known and (done := self.history(name).where(F.col("batch_id") == batch_id).select("version").first()):
+    def commit(self, name: str, df: DataFrame, operation: str, batch_id: str | None = None, partition_by: list[str] | None = None, base: int | None = -1, adds: bool = False) -> int:
+        """Write rows and make them the newest version, alone or (``adds``) beside the pieces of the version before.
+
+        A batch id that is in the log already changes nothing. ``base`` is the version that the rows
+        were made from (None: there was none); -1 takes the newest one, for rows that depend on none.
+        """
+        last = self.newest(name)
+        if batch_id is not None and last is not None and (done := self.history(name).where(F.col("batch_id") == batch_id).select("version").first()):
             return done[0]
-        data = uuid.uuid4().hex
+        if base != -1 and base != last:
+            raise ConcurrentCommit(f"{name} is at version {last}, the rows were made from {base}")
+        before = self._entry(name, last) if adds and last is not None else {"data": [], "rows": 0}
+        piece = uuid.uuid4().hex
         writer = df.write
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{name}/data/{data}")
-        rows = self.spark.read.parquet(f"{self.root}/{name}/data/{data}").count()  # from footers
-        return self._commit(name, {"version": known[-1] + 1 if known else 0, "operation": operation, "rows": rows, "batch_id": batch_id, "data": data})
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{name}/data/{piece}")
+        rows = self.spark.read.parquet(f"{self.root}/{name}/data/{piece}").count()  # from footers
+        return self._commit(name, {"version": 0 if last is None else last + 1, "operation": operation, "rows": before["rows"] + rows, "batch_id": batch_id, "data": [*before["data"], piece]})
+
+    def load(self, name: str, strategy: str, source: DataFrame, keys: list[str], batch_id: str | None = None, partition_by: list[str] | None = None, **options) -> int:
+        """Load rows by a strategy on the newest version; strategies that only add write their new rows alone."""
+        base = self.newest(name)
+        if base is None:
+            return self.commit(name, source, strategy, batch_id, partition_by, None)
+        old, plain = self.read(name, base), strategy.lower().removesuffix("_load")
+        if adds := plain in loads.ADDING:
+            rows = loads.ADDING[plain](old, source, keys)
+        else:
+            rows = loads.load(strategy, old, source, keys, **options)
+        return self.commit(name, rows, strategy, batch_id, partition_by, base, adds)
+
+    def vacuum(self, name: str, keep: int) -> int:
+        """Delete pieces that none of the last ``keep`` versions lists, and the older log entries; returns the number of pieces. Not while others write."""
+        known = self.versions(name)
+        kept = {p for v in known[-keep:] for p in self._entry(name, v)["data"]}
+        folder = self._path(f"{self.root}/{name}/data")
+        fs, gone = self._fs(folder), 0
+        for v in known[:-keep]:
+            fs.delete(self._path(f"{self.root}/{name}/log/{v:020d}.json"), False)
+        for status in fs.listStatus(folder):
+            if status.getPath().getName() not in kept:
+                gone += bool(fs.delete(status.getPath(), True))
+        return gone
 
     def restore(self, name: str, version: int) -> int:
-        """An older snapshot as the newest version; no data is copied."""
+        """An older version's pieces as the newest version; no data is copied."""
         return self._commit(name, self._entry(name, version) | {"version": self.versions(name)[-1] + 1, "operation": "restore", "batch_id": None})

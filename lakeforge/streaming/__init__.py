@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import loads
 from ..store import TableStore
 
 
@@ -27,8 +26,7 @@ def start(stream: DataFrame, store: TableStore, table: str, strategy: str, keys:
     def load(batch: DataFrame, batch_id: int) -> None:
         for step in chain:
             batch = step(batch)
-        old = store.read(table) if store.exists(table) else None
-        store.commit(table, loads.load(strategy, old, batch, keys), strategy, f"{checkpoint}#{batch_id}")
+        store.load(table, strategy, batch, keys, f"{checkpoint}#{batch_id}")
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(**trigger(when)).start()
 
