@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .flows import FLOWS
 from .models import MODELS
 from .operators import loads, temporal, windows
 
@@ -70,7 +71,7 @@ def cdc_net_changes(spark, d):
 
 def _halves(spark, d):
     c = _t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return c.where("c_custkey % 3 <> 0"), c.where("c_custkey % 2 = 0").withColumn("c_mktsegment", F.lower("c_mktsegment"))
+    return c.where("c_mktsegment <> 'BUILDING'"), c.where("c_mktsegment <> 'MACHINERY'").withColumn("c_mktsegment", F.lower("c_mktsegment"))
 
 
 def _loaded(name):
@@ -115,7 +116,7 @@ def union_distinct_keys(spark, d):
 
 
 _C = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
-_TARGET, _SOURCE = f"({_C} WHERE c_custkey % 3 <> 0)", "(SELECT c_custkey, c_name, lower(c_mktsegment) AS c_mktsegment FROM customer WHERE c_custkey % 2 = 0)"
+_TARGET, _SOURCE = f"({_C} WHERE c_mktsegment <> 'BUILDING')", "(SELECT c_custkey, c_name, lower(c_mktsegment) AS c_mktsegment FROM customer WHERE c_mktsegment <> 'MACHINERY')"
 _LI = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem"
 _BY_KEY = f"SELECT * FROM {_SOURCE} UNION ALL SELECT * FROM {_TARGET} t WHERE t.c_custkey NOT IN (SELECT c_custkey FROM {_SOURCE})"
 
@@ -143,8 +144,8 @@ CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, (f, _) in (CATALOGUE | MODELS).items()}
+    return {k: f for k, (f, _) in (CATALOGUE | MODELS | FLOWS).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for k, (_, s) in (CATALOGUE | MODELS).items()}
+    return {k: s for k, (_, s) in (CATALOGUE | MODELS | FLOWS).items()}

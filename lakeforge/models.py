@@ -74,7 +74,8 @@ def cdc_apply(spark, d):
 
 def _customers(spark, d):
     c = _t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return c.where("c_custkey % 3 <> 0"), c.where("c_custkey % 2 = 0").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 4 == 0, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")))
+    changed = F.when(F.col("c_mktsegment") == "FURNITURE", F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
+    return c.where("c_mktsegment <> 'BUILDING'"), c.where("c_mktsegment <> 'MACHINERY'").withColumn("c_mktsegment", changed)
 
 
 def merge_hash_guard(spark, d):
@@ -216,7 +217,7 @@ def sessionized_events(spark, d):
 
 _NET = "SELECT user_id, event_id, event_type = 'error' AS gone FROM events WHERE event_id % 2 = {} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
 _C = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
-_T, _S = f"({_C} WHERE c_custkey % 3 <> 0)", "(SELECT c_custkey, c_name, CASE WHEN c_custkey % 4 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 2 = 0)"
+_T, _S = f"({_C} WHERE c_mktsegment <> 'BUILDING')", "(SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'FURNITURE' THEN lower(c_mktsegment) ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_mktsegment <> 'MACHINERY')"
 _DIM = "(SELECT user_id, event_id AS version_id, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to FROM events WHERE event_type = 'signup')"
 _AT = f"SELECT f.event_id, {{}} AS version_id FROM events f LEFT JOIN {_DIM} v ON v.user_id = f.user_id AND f.ts >= v.valid_from AND (f.ts < v.valid_to OR v.valid_to IS NULL) LEFT JOIN (SELECT * FROM {_DIM} WHERE valid_to IS NULL) l ON l.user_id = f.user_id WHERE f.event_type = 'purchase'"
 _FLAGS = {"discount": "l_discount <= 0.05", "status": "l_linestatus IN ('O', 'F')", "cross": "l_returnflag <> 'R' OR l_linestatus = 'F'"}

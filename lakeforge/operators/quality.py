@@ -33,3 +33,34 @@ def row_count_verdict(rows: int, before: int | None, least: int = 1, growth: flo
     if rows == 0 or rows < least:
         return "error"
     return "warning" if before and rows > growth * before else "ok"
+
+
+def load_rules(rules: DataFrame) -> dict[str, Column]:
+    """Rules of a rule table ``rule_id, expression, is_active`` as conditions; the expressions are SQL. A rule book is a small table."""
+    return {r["rule_id"]: F.expr(r["expression"]) for r in rules.where("is_active = 1").orderBy("rule_id").collect()}
+
+
+def gate(df: DataFrame, rules: dict[str, Column], most_broken: float) -> tuple[DataFrame, DataFrame, bool]:
+    """Rows to load, rows to quarantine, and whether the load may go on: at most that share of rows is broken."""
+    good, bad = split_by_rules(df, rules)
+    n = df.agg(F.count("*").alias("n"), F.count_if(~_all(rules)).alias("bad")).first()
+    return good, bad, n["bad"] <= most_broken * n["n"]
+
+
+def _all(rules: dict[str, Column]) -> Column:
+    holds = F.lit(True)
+    for v in rules.values():
+        holds = holds & F.coalesce(v, F.lit(False))
+    return holds
+
+
+def quarantine_rows(duplicates: DataFrame, table: str, kind: str, run: str, now: Column) -> DataFrame:
+    """Rows for a quarantine table: the columns and what is needed to find out where they came from."""
+    return duplicates.withColumns({"q_table": F.lit(table), "q_type": F.lit(kind), "q_run": F.lit(run), "q_time": now})
+
+
+def quarantine_log(duplicates: DataFrame, keys: list[str], table: str, kind: str, run: str) -> DataFrame:
+    """A log row: rows and keys in quarantine, the key columns joined by ``~``. Without duplicates there is none."""
+    one = F.struct(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in keys])
+    counted = duplicates.groupBy(one.alias("k")).agg(F.count("*").alias("n")).agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_keys")).where("n_keys > 0")
+    return counted.select(F.lit(table).alias("q_table"), F.lit(kind).alias("q_type"), F.lit(run).alias("q_run"), "n_rows", "n_keys", F.lit("~".join(keys)).alias("key_columns"))
