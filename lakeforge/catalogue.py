@@ -18,10 +18,12 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def star_fact(spark, d):
     """Revenue by market segment and nation, with default keys for what is missing."""
-    o, c, n = _t(spark, d, "orders"), _t(spark, d, "customer"), _t(spark, d, "nation")
+    # Orders are summed by customer before they meet the dimensions.
+    o = _t(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"))
+    c, n = _t(spark, d, "customer"), _t(spark, d, "nation")
     joined = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, c.c_nationkey == n.n_nationkey, "left")
     return joined.groupBy(F.coalesce("n_nationkey", F.lit(-1)).alias("nation_key"), F.coalesce("c_mktsegment", F.lit("unknown")).alias("segment")).agg(
-        F.count("*").alias("n_orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")
+        F.sum("n").alias("n_orders"), F.sum("total").cast("double").alias("total")
     )
 
 
@@ -52,10 +54,9 @@ def days_between_status(spark, d):
 
 
 def asof_last_purchase(spark, d):
-    e = _t(spark, d, "events")
-    views = e.where("event_type = 'view'").select("event_id", "user_id", "ts")
-    bought = e.where("event_type = 'purchase'").groupBy("user_id", "ts").agg(F.max("event_id").alias("purchase_id"))
-    return temporal.as_of(views, bought, "user_id", "ts", "ts", "purchase_id", "purchase_id").select("event_id", "user_id", "purchase_id")
+    e = _t(spark, d, "events").select("event_id", "user_id", "ts", "event_type").where("event_type IN ('view', 'purchase')")
+    found = temporal.as_of_within(e, "user_id", "ts", F.col("event_type") == "purchase", "event_id", "purchase_id")
+    return found.where("event_type = 'view'").select("event_id", "user_id", "purchase_id")
 
 
 def temporal_versions(spark, d):

@@ -35,14 +35,13 @@ def composite_case_key_lookup(spark, d):
 
 def unified_quarantine_view(spark, d):
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    good, bad = windows.split_duplicates(li, ["l_orderkey", "l_linenumber"], "quarantine_all")
-    return quality.unified(good, bad)
+    return windows.mark_duplicates(li, ["l_orderkey", "l_linenumber"], "quarantine_all")
 
 
 def prev_event_self_join(spark, d):
-    e = windows.numbered(_t(spark, d, "events").select("user_id", "event_id", "event_type", "ts"), ["user_id"], ["ts", "event_id"], "rcount").drop("ts")
-    prev = e.select("user_id", (F.col("rcount") + 1).alias("rcount"), F.col("event_type").alias("prev_type"))
-    return e.join(prev, ["user_id", "rcount"], "left").select("event_id", "rcount", "prev_type")
+    e = _t(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
+    by = ["user_id"], ["ts", "event_id"]
+    return windows.previous(windows.numbered(e, *by, "rcount"), *by, "event_type", "prev_type").select("event_id", "rcount", "prev_type")
 
 
 def _signups(spark, d):

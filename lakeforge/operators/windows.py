@@ -14,16 +14,24 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return ranked.where("__rn = 1").drop("__rn")
 
 
-def split_duplicates(df: DataFrame, keys: list[str], mode: str, order: list[Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows to load and rows to quarantine; a key with a null is a key like any other."""
+def mark_duplicates(df: DataFrame, keys: list[str], mode: str, order: list[Column] | None = None, name: str = "is_quarantined") -> DataFrame:
+    """All rows with a 0/1 flag of those to quarantine, from one shuffle; a key with a null is a key like any other."""
     if mode not in MODES:
         raise ValueError(f"unknown duplicate mode {mode!r}; one of {MODES}")
     w = Window.partitionBy(*keys)
-    if mode == "quarantine_all":
-        marked = df.withColumn("__n", F.count("*").over(w))
-    else:
-        marked = df.withColumn("__n", F.row_number().over(w.orderBy(*(order or [F.col(c) for c in df.columns]))))
-    return marked.where("__n = 1").drop("__n"), marked.where("__n > 1").drop("__n")
+    n = F.count("*").over(w) if mode == "quarantine_all" else F.row_number().over(w.orderBy(*(order or [F.col(c) for c in df.columns])))
+    return df.withColumn(name, (n > 1).cast("int"))
+
+
+def split_duplicates(df: DataFrame, keys: list[str], mode: str, order: list[Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows to load and rows to quarantine. Where both are wanted of one plan, use ``mark_duplicates``."""
+    marked = mark_duplicates(df, keys, mode, order, "__gone")
+    return marked.where("__gone = 0").drop("__gone"), marked.where("__gone = 1").drop("__gone")
+
+
+def previous(df: DataFrame, keys: list[str], order: list[str], column: str, name: str) -> DataFrame:
+    """Rows with the value of the row before in their key: a self join on consecutive numbers as one window."""
+    return df.withColumn(name, F.lag(column).over(Window.partitionBy(*keys).orderBy(*order)))
 
 
 def dominant_category(df: DataFrame, entity: str, category: str, measure: Column, name: str = "measure") -> DataFrame:
