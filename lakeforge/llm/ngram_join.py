@@ -122,7 +122,7 @@ def cuts_of(level: int, percent: int) -> int:
     return 0 if d == 0 else math.ceil(FRAGMENTS_FOR_EACH * d) + 3 + math.ceil(2 * (d + 1) * math.exp(-most * percent / 100 / (d + 1)))
 
 
-def signatures(hashes: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
+def level_signatures(hashes: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
     """For the set's level and the one below: keys, and how many of them a linked but not equal set has too, at least, at one of the levels."""
     n, out = len(hashes), []
     j, below = level_of(n, percent)
@@ -141,6 +141,11 @@ def signatures(hashes: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]
     return out
 
 
+def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
+    """Keys such that two sets with a Jaccard similarity of ``percent`` or more, but not equal, share one at least."""
+    return np.unique(np.concatenate([keys for keys, _ in level_signatures(hashes, percent)]))
+
+
 def _pack(sigs: np.ndarray, who: np.ndarray, base: int) -> bytes:
     """Sorted signatures as differences, and offsets of rows; the bytes of one place stand together, which compresses better."""
     x = np.concatenate([np.array([base], np.uint64), np.diff(sigs, prepend=np.uint64(0)), who])
@@ -196,7 +201,7 @@ def _gather(n: int, percent: int, bits: int):
                 digest, least = set_digest(s), [0, 0]
                 if digest is not None and digest not in seen:
                     seen.add(digest)
-                    for w, (keys, need) in enumerate(signatures(s, percent)):
+                    for w, (keys, need) in enumerate(level_signatures(s, percent)):
                         least[w] = need
                         sigs.append(keys)
                         who.append(np.full(len(keys), (at - base) * 4 + w, np.uint64))
