@@ -166,11 +166,13 @@ def _made(rows: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns else pa.nulls(rows, t) for c, t in kinds.items()], names=list(kinds))
 
 
-def _chunk(sigs: list[np.ndarray], who: list[np.ndarray], base: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """Of equal signatures of a task one leader goes to a block; the others are known to be shared already."""
-    s, w = np.concatenate(sigs), np.concatenate(who)
+def _chunk(sigs: list[np.ndarray], who: list[int], base: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Of equal signatures of a task one leader goes to a block; the others are known to be shared already. Empties both lists."""
+    s, w = np.concatenate(sigs), np.repeat(np.array(who, np.uint64), [len(keys) for keys in sigs])
+    sigs.clear(), who.clear()
     order = np.argsort(s, kind="stable")
     s, w = s[order], w[order]
+    del order
     lead = np.concatenate([[True], s[1:] != s[:-1]])
     followed = np.concatenate([~lead[1:], [False]])
     rest = np.flatnonzero(~lead)
@@ -178,13 +180,13 @@ def _chunk(sigs: list[np.ndarray], who: list[np.ndarray], base: int, bits: int)
         some = rest[at : at + 20_000]
         yield _made(len(some), kind=np.full(len(some), 2, np.int32), key=((w[some] >> np.uint64(2)) + np.uint64(base)).view(np.int64), sig=s[some].view(np.int64), w=(w[some] & np.uint64(1)).astype(np.int32))
     s, w = s[lead], w[lead] | (followed[lead].astype(np.uint64) << np.uint64(1))
-    block = (s >> np.uint64(64 - bits)).astype(np.int64)
-    own = np.unique(block)
-    ends = np.append(np.searchsorted(block, own), len(block))
+    block = (s >> np.uint64(64 - bits)).astype(np.int32)
+    ends = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block))
+    own = block[ends[:-1]]
     for at in range(0, len(own), 512):
         some = own[at : at + 512]
         blobs = [_pack(s[ends[i] : ends[i + 1]], w[ends[i] : ends[i + 1]], base) for i in range(at, at + len(some))]
-        yield _made(len(some), kind=np.full(len(some), 1, np.int32), block=some.astype(np.int32), blob=blobs)
+        yield _made(len(some), kind=np.full(len(some), 1, np.int32), block=some, blob=blobs)
 
 
 def _gather(n: int, percent: int, bits: int):
@@ -204,7 +206,7 @@ def _gather(n: int, percent: int, bits: int):
                     for w, (keys, need) in enumerate(level_signatures(s, percent)):
                         least[w] = need
                         sigs.append(keys)
-                        who.append(np.full(len(keys), (at - base) * 4 + w, np.uint64))
+                        who.append((at - base) * 4 + w)
                         held += len(keys)
                 sizes.append(len(s))
                 digests.append(digest)
@@ -216,7 +218,7 @@ def _gather(n: int, percent: int, bits: int):
             if held >= CHUNK or len(seen) >= CHUNK // 10:
                 if held:
                     yield from _chunk(sigs, who, base, bits)
-                base, sigs, who, held, seen = at, [], [], 0, set()
+                base, held, seen = at, 0, set()
         if held:
             yield from _chunk(sigs, who, base, bits)
 
