@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of text that Python holds at once. Spark sends Arrow batches by its own limits
-#: (``spark.sql.execution.arrow.maxRecordsPerBatch`` and ``maxBytesPerBatch``).
+#: Rows of text in an Arrow batch at most, in executors and in Python; ``maxBytesPerBatch`` bounds very long ones.
 TEXT_BATCH_ROWS = 1000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Bits of a Bloom filter: fixed, so its broadcast is bounded (BLOOM / 64 rows) whatever the data.
 BLOOM = 1 << 25
 
@@ -101,8 +101,10 @@ def lean(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with the package shipped and workers kept small."""
+    """``mapInArrow`` with the package shipped and workers kept small; sets the session's limit of rows in a batch if it is larger."""
     ship(df.sparkSession)
+    if not 0 < int(df.sparkSession.conf.get(ARROW_ROWS)) <= TEXT_BATCH_ROWS:
+        df.sparkSession.conf.set(ARROW_ROWS, TEXT_BATCH_ROWS)
     return df.mapInArrow(lean(fn), schema)
 
 

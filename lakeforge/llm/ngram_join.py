@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from .common import bloom, discard, map_batches, materialize, slices, table, with_hit
 from .components import components
 
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
 #: At most about so many n-grams of a set stand in one fragment of the verification.
 FRAGMENT = 1024
 #: Fragments for each n-gram that two linked sets may differ in; steps of the threshold that a class of sizes spans.
