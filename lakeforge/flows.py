@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from . import functions as X
@@ -210,6 +212,49 @@ def column_order(spark, d):
     return c.select(*X.reordered(X.without_prefix(c.columns, "dq_"), ["c_custkey", "absent"]))
 
 
+def soft_deletes(spark, d):
+    """Customers that a full extract no longer has stay, marked as deleted; the others keep their rows."""
+    target = _t(spark, d, "customer").select("c_custkey", "c_name")
+    extract = _t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    there = target.join(extract.withColumn("there", F.lit(1)), "c_custkey", "left")
+    gone = F.col("there").isNull()
+    return there.select("c_custkey", "c_name", gone.cast("int").alias("is_deleted"), F.when(gone, _now()).alias("deleted_at"))
+
+
+def folded_union(spark, d):
+    """Names of many tables as one frame, folded from a list of them."""
+    named = [_t(spark, d, t).select(F.lit(t).alias("kind"), F.col(c).alias("name")) for t, c in (("region", "r_name"), ("nation", "n_name"), ("supplier", "s_name"), ("customer", "c_name"))]
+    return reduce(lambda a, b: a.unionByName(b), named)
+
+
+def share_of_total(spark, d):
+    """Each line's share of its part's quantity: sums of parts are joined back, so no part's lines meet in one task."""
+    lines = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("double").alias("quantity"))
+    total = lines.groupBy("l_partkey").agg(F.sum("quantity").alias("total"))
+    return lines.join(total, "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey", "quantity", F.round(100 * F.col("quantity") / F.nullif("total", F.lit(0.0)), 4).alias("percent"))
+
+
+def delimited_words(spark, d):
+    """Words of a delimited text, blank ones left out, and how many there are."""
+    typed = F.concat(F.lit(" ;"), F.replace(F.col("p_type"), F.lit(" "), F.lit(" ; ")), F.lit(";;"))
+    words = F.filter(F.transform(F.split(typed, ";"), lambda w: F.trim(w)), lambda w: w != "")
+    return _t(spark, d, "part").select("p_partkey", F.size(words).cast("long").alias("n_words"), F.explode(words).alias("word"))
+
+
+def three_part_key(spark, d):
+    """Lines find the line of the same order, part and supplier with a smaller number."""
+    li = _t(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(F.min("l_linenumber").cast("long").alias("first_line"))
+    lines = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    return lines.join(li, ["l_orderkey", "l_partkey", "l_suppkey"]).select("l_orderkey", "l_linenumber", "first_line")
+
+
+def absent_columns(spark, d):
+    """Columns that a source has and its target lacks, with their types: what a schema sync would add."""
+    target, source = _sides(spark, d)
+    rows = [(f.name, f.dataType.simpleString()) for f in source.schema if f.name not in target.columns]
+    return spark.createDataFrame(rows, "name string, type string")
+
+
 _C = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
 _TGT = f"({_C} WHERE c_mktsegment <> 'BUILDING')"
 _SRC = "(SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'TOOLS' ELSE c_mktsegment END AS c_mktsegment, CAST(length(c_name) AS BIGINT) AS c_tier FROM customer)"
@@ -285,4 +330,28 @@ FLOWS = {
     ),
     "default_compare": (default_compare, "SELECT event_id FROM events WHERE event_type <> 'view'"),
     "column_order": (column_order, "SELECT c_custkey, c_name, c_mktsegment FROM customer"),
+    "soft_deletes": (
+        soft_deletes,
+        f"SELECT c_custkey, c_name, CASE WHEN gone THEN 1 ELSE 0 END AS is_deleted, CASE WHEN gone THEN TIMESTAMP '{NOW}' END AS deleted_at "
+        "FROM (SELECT c_custkey, c_name, NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AS gone FROM customer)",
+    ),
+    "folded_union": (
+        folded_union,
+        "SELECT 'region' AS kind, r_name AS name FROM region UNION ALL SELECT 'nation', n_name FROM nation "
+        "UNION ALL SELECT 'supplier', s_name FROM supplier UNION ALL SELECT 'customer', c_name FROM customer",
+    ),
+    "share_of_total": (
+        share_of_total,
+        "SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS DOUBLE) AS quantity, "
+        "round(100 * CAST(l_quantity AS DOUBLE) / nullif(sum(CAST(l_quantity AS DOUBLE)) OVER (PARTITION BY l_partkey), 0), 4) AS percent FROM lineitem",
+    ),
+    "delimited_words": (
+        delimited_words,
+        "SELECT p_partkey, CAST(len(w) AS BIGINT) AS n_words, unnest(w) AS word FROM (SELECT p_partkey, list_filter(string_split(p_type, ' '), lambda x: x <> '') AS w FROM part)",
+    ),
+    "three_part_key": (
+        three_part_key,
+        "SELECT l_orderkey, l_linenumber, CAST(min(l_linenumber) OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey) AS BIGINT) AS first_line FROM lineitem",
+    ),
+    "absent_columns": (absent_columns, "SELECT 'c_tier' AS name, 'bigint' AS type"),
 }
