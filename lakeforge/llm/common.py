@@ -14,9 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of text in an Arrow batch at most, in executors and in Python; ``maxBytesPerBatch`` bounds very long ones.
-TEXT_BATCH_ROWS = 1000
+#: Rows of text in an Arrow batch at most, in executors and in Python, and its bytes, where rows are long (one row may have more).
+TEXT_BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Bits of a Bloom filter: fixed, so its broadcast is bounded (BLOOM / 64 rows) whatever the data.
 BLOOM = 1 << 25
 
@@ -101,10 +102,14 @@ def lean(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with the package shipped and workers kept small; sets the session's limit of rows in a batch if it is larger."""
+    """``mapInArrow`` with the package shipped and workers kept small; lowers the session's limits of rows and bytes in a batch if they are larger."""
     ship(df.sparkSession)
-    if not 0 < int(df.sparkSession.conf.get(ARROW_ROWS)) <= TEXT_BATCH_ROWS:
-        df.sparkSession.conf.set(ARROW_ROWS, TEXT_BATCH_ROWS)
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(ARROW_ROWS)) <= TEXT_BATCH_ROWS:
+        conf.set(ARROW_ROWS, TEXT_BATCH_ROWS)
+    as_bytes = df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if not 0 < as_bytes(conf.get(ARROW_BYTES)) <= BATCH_BYTES:
+        conf.set(ARROW_BYTES, BATCH_BYTES)
     return df.mapInArrow(lean(fn), schema)
 
 
