@@ -183,8 +183,8 @@ def _chunk(sigs: list[np.ndarray], who: list[int], base: int, bits: int) -> Iter
     block = (s >> np.uint64(64 - bits)).astype(np.int32)
     ends = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block))
     own = block[ends[:-1]]
-    for at in range(0, len(own), 512):
-        some = own[at : at + 512]
+    for at in range(0, len(own), 64):
+        some = own[at : at + 64]
         blobs = [_pack(s[ends[i] : ends[i + 1]], w[ends[i] : ends[i + 1]], base) for i in range(at, at + len(some))]
         yield _made(len(some), kind=np.full(len(some), 1, np.int32), block=some, blob=blobs)
 
