@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from .common import map_batches, slices
 
 #: Pre-tokens that a worker remembers twice over (this generation and the last), and the longest of them.
-MEMO_ENTRIES, MEMO_CHARS = 600_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 150_000, 64
 #: Texts whose ids stand in one array.
 BATCH_ROWS = 200
 #: Steps are taken modulo a prime over the number of slots, so that a step shared with it can't keep a bucket from free slots.
