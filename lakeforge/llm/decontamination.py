@@ -33,8 +33,8 @@ WORDS, PERCENT = 5, 80
 RADIUS = 23
 #: Most items; the broadcast index is proportional to them.
 MOST_ITEMS = 200_000
-#: Windows looked up at a time.
-WINDOWS = 4096
+#: Windows looked up at a time, and the shingles that a run of them may span.
+WINDOWS, STRETCH = 4096, 8192
 
 _shifts = np.arange(64, dtype=np.uint64)
 _near = np.array([[bin(a ^ b).count("1") for b in range(256)] for a in range(256)], np.uint8)
@@ -122,8 +122,9 @@ class Benchmark:
         starts = starts[held[starts + wide] - held[starts] >= need]
         for at in range(0, len(starts), WINDOWS):
             part = starts[at : at + WINDOWS]
-            # Runs of windows share one stretch of prefix sums.
-            for run in np.split(part, np.flatnonzero(np.diff(part) > wide) + 1):
+            # Runs of windows share one stretch of prefix sums; a stretch spans STRETCH shingles and a window at most.
+            far = (np.diff(part) > wide) | (np.diff((part - part[0]) // STRETCH) > 0)
+            for run in np.split(part, np.flatnonzero(far) + 1):
                 lo, hi = int(run[0]), int(run[-1]) + wide
                 sums = np.concatenate([np.zeros((1, 64), np.int64), np.cumsum(signs(h[lo:hi]), axis=0)])
                 prints = fingerprints(sums[run - lo + wide] - sums[run - lo])
