@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import op6_byte_bpe
+from .centroids import op13_centroids
+from .centroids import sql as centroids_sql
 from .chat import op2_chat_format
 from .decontamination import op3_decontamination
 from .filter_audit import SQL as FILTER_AUDIT_SQL
@@ -21,13 +23,14 @@ from .warc import op9_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op2_chat_format, op3_decontamination, op4_toxicity, op5_ngram_join, op6_byte_bpe, op7_media, op8_secrets, op9_warc, op10_quality, op12_filter_audit)
+    found = (op1_language_id, op2_chat_format, op3_decontamination, op4_toxicity, op5_ngram_join, op6_byte_bpe, op7_media, op8_secrets, op9_warc, op10_quality, op12_filter_audit, op13_centroids)
     return {f.__name__: f for f in found}
 
 
 # These keep whole-table semantics; the other operators can't be expressed in SQL and are tested against plain versions.
 ORACLE_SQL = {
     "op12_filter_audit": FILTER_AUDIT_SQL,
+    "op13_centroids": centroids_sql(),
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS payload_digest FROM p),
