@@ -10,6 +10,7 @@ from .byte_bpe import op6_byte_bpe
 from .centroids import op13_centroids
 from .centroids import sql as centroids_sql
 from .chat import op2_chat_format
+from .class_lm import op11_class_lm
 from .decontamination import op3_decontamination
 from .filter_audit import SQL as FILTER_AUDIT_SQL
 from .filter_audit import op12_filter_audit
@@ -23,7 +24,7 @@ from .warc import op9_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op2_chat_format, op3_decontamination, op4_toxicity, op5_ngram_join, op6_byte_bpe, op7_media, op8_secrets, op9_warc, op10_quality, op12_filter_audit, op13_centroids)
+    found = (op1_language_id, op2_chat_format, op3_decontamination, op4_toxicity, op5_ngram_join, op6_byte_bpe, op7_media, op8_secrets, op9_warc, op10_quality, op11_class_lm, op12_filter_audit, op13_centroids)
     return {f.__name__: f for f in found}
 
 
