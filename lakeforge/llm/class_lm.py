@@ -52,6 +52,8 @@ CHUNK = 2_000_000
 #: The end of a text among the hashes of words.
 END_HASH = np.int64(0)
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+#: Gains that are equal to so many digits are ties.
+DIGITS = 6
 #: Counts whose terms are looked up in place of computed.
 TERMS = 64
 
@@ -189,9 +191,10 @@ def exchange(bigrams: np.ndarray, fixed: int, classes: int = CLASSES, passes: in
             rest[a] -= r
             rest[:, a] -= l
             rest[a, a] -= own
-            gain = gains(rest, r, l, own)
-            b = int(gain[:classes].argmax())
-            if b != a and gain[b] > gain[a] + 1e-9 * abs(gain[a]):
+            gain = gains(rest, r, l, own)[:classes]
+            gain = np.round(gain - gain[a], DIGITS)
+            b = int(gain.argmax())
+            if gain[b] > 0:
                 moved += 1
                 of[w] = b
                 right[:, a] -= columns[w]
@@ -213,7 +216,8 @@ def gains(rest: np.ndarray, r: np.ndarray, l: np.ndarray, own: int) -> np.ndarra
     rows, cols, diagonal = xlogx(rest + r) - logs, xlogx(rest + l[:, None]) - logs, np.arange(len(rest))
     both = xlogx(rest[diagonal, diagonal] + r + l + own) - logs[diagonal, diagonal]
     out = rows.sum(axis=1) - rows[diagonal, diagonal] + cols.sum(axis=0) - cols[diagonal, diagonal] + both
-    for margin, more in ((rest.sum(axis=1), r.sum() + own), (rest.sum(axis=0), l.sum() + own)):
+    # Wherever the word goes, it already stands behind its left neighbours and before its right ones.
+    for margin, more in ((rest.sum(axis=1) + l, r.sum() + own), (rest.sum(axis=0) + r, l.sum() + own)):
         out -= xlogx(margin + more) - xlogx(margin)
     return out
 
@@ -243,10 +247,16 @@ class Joining:
             return out
         first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         gain = np.add.reduceat(self._look(self.cell_terms, self.cells, slot, n), first, axis=0)
+        group = np.cumsum(np.concatenate([[False], word[1:] != word[:-1]]))
         for side in (0, 1):
             sums = np.add.reduceat(np.where((slot > CLASSES) == side, n, 0), first)
             gain -= self._look(self.margin_terms, self.margins, np.full(len(first), side), sums)
-        out[word[first]] = gain.argmax(axis=1)
+            # In the margin of a class whose words stand on the word's other side, these count before it joins.
+            near = np.flatnonzero(((slot > CLASSES) != side) & (slot % (CLASSES + 1) < CLASSES))
+            to, more, at = group[near], n[near], slot[near] % (CLASSES + 1)
+            before, own = self.margins[side][at], sums[to]
+            gain[to, at] -= xlogx(before + more + own) - xlogx(before + more) - xlogx(before + own) + xlogx(before)
+        out[word[first]] = np.round(gain, DIGITS).argmax(axis=1)
         return out
 
 

@@ -39,9 +39,10 @@ def _plain_exchange(bigrams, m, classes, passes):
             def at(c, w=w):
                 return _objective(_table(bigrams, of[:w] + [c] + of[w + 1 :], classes + 1))
 
-            best = max(range(classes), key=lambda c: (round(at(c), 7), -c))
-            if at(best) > at(of[w]) + 1e-7:
-                of[w], moved = best, True
+            now = at(of[w])
+            more = [round(at(c) - now, class_lm.DIGITS) for c in range(classes)]
+            if max(more) > 0:
+                of[w], moved = more.index(max(more)), True
         if not moved:
             break
     return of
@@ -76,25 +77,8 @@ def _plain_scores(texts, trains, core_size):
                         table[of[a]][c] += n
                 return _objective(table)
 
-            # A left and a right neighbour stand in different cells, so the terms of both sides add up.
-            def step(c, w=w):
-                total = 0.0
-                for side in (0, 1):
-                    near = Counter()
-                    for (a, b), n in pairs.items():
-                        if (a, b)[side] == w and (b, a)[side] in rank:
-                            near[of[(b, a)[side]]] += n
-                    f = lambda x: x * math.log(x) if x else 0.0
-                    for d, n in near.items():
-                        cell = base[c][d] if side == 0 else base[d][c]
-                        total += f(cell + n) - f(cell)
-                    margin = sum(base[c]) if side == 0 else sum(row[c] for row in base)
-                    total -= f(margin + sum(near.values())) - f(margin)
-                return total
-
-            best = max(range(k), key=lambda c: (round(step(c), 9), -c))
-            of[w] = best
-            assert joined(best) >= min(joined(c) for c in range(k))
+            more = [round(joined(c) - joined(0), class_lm.DIGITS) for c in range(k)]
+            of[w] = more.index(max(more))
     z, after, seen = Counter(), Counter(), Counter()
     for w, n in count.items():
         z[of[w]] += n + 0.5
