@@ -216,9 +216,7 @@ def soft_deletes(spark, d):
     """Customers that a full extract no longer has stay, marked as deleted; the others keep their rows."""
     target = _t(spark, d, "customer").select("c_custkey", "c_name")
     extract = _t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
-    there = target.join(extract.withColumn("there", F.lit(1)), "c_custkey", "left")
-    gone = F.col("there").isNull()
-    return there.select("c_custkey", "c_name", gone.cast("int").alias("is_deleted"), F.when(gone, _now()).alias("deleted_at"))
+    return loads.load("soft_delete", target, extract, ["c_custkey"], now=_now())
 
 
 def folded_union(spark, d):

@@ -68,7 +68,7 @@ def cdc_apply(spark, d):
     """The changes of two halves applied one after the other; a deleted user keeps the last values before it."""
     e = _t(spark, d, "events")
     target = _net(e.where("event_id % 2 = 0")).select("user_id", "event_id", "is_deleted", "is_current")
-    return loads.cdc_apply(target, _net(e.where("event_id % 2 = 1")).select("user_id", "event_id", "op"), ["user_id"])
+    return loads.cdc_apply(target, _net(e.where("event_id % 2 = 1")).select("user_id", "event_id", "op"), ["user_id"], keep_unknown_deletes=True)
 
 
 def _customers(spark, d):

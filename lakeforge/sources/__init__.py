@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.layout import cluster_columns  # noqa: F401
+
 #: Option names of a dataset's config and Spark's names for them.
 OPTIONS = {"inferColumnTypes": "inferSchema", "delimiter": "sep", "multiline": "multiLine"}
 FORMATS = ("parquet", "csv", "json", "orc", "text")
@@ -48,12 +50,6 @@ def write(df: DataFrame, path: str, kind: str = "parquet", mode: str = "error",
     return True
 
 
-def cluster_columns(keys: list[str], first: str | None = None, most: int = 4) -> tuple[list[str], list[str]]:
-    """The columns to cluster by, and those over the limit."""
-    wanted = list(dict.fromkeys(([first] if first else []) + keys))
-    return wanted[:most], wanted[most:]
-
-
 def deploy_views(spark: SparkSession, scripts: dict[str, str], fail_fast: bool = True) -> dict[str, str]:
     """Run CREATE VIEW scripts in the order of their names; the errors by name."""
     errors: dict[str, str] = {}
