@@ -103,8 +103,9 @@ class Chunk:
             out.write_table(kept)
         raw = pickle.dumps((ids.view(np.uint8).reshape(-1, 4).T.copy(), lengths, train, sink.getvalue().to_pybytes()), 5)
         body = len(raw).to_bytes(8, "little") + _zstd.compress(raw, asbytes=True)
-        values = [chunk], [np.array(self.hashes, np.int64).tobytes()], [counts.astype(np.int64).tobytes()], [body]
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["chunk", "hashes", "counts", "body"])
+        values = [chunk], [len(self.hashes)], [np.array(self.hashes, np.int64).tobytes()], [counts.astype(np.int64).tobytes()], [body]
+        kinds = pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=["chunk", "size", "hashes", "counts", "body"])
 
 
 def opened(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
@@ -348,9 +349,9 @@ def coded(state: DataFrame, found: DataFrame, fields: list[T.StructField]) -> Da
     """The kept columns with ``n_tokens, n_known, words`` (sum of log10 of count + 0.5), ``classes`` (a byte a token) and ``trains``."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        hashes = left.column("hashes")[0].as_py()
+        size = left.column("size")[0].as_py()
         ids, lengths, train, kept = opened(left.column("body")[0].as_py())
-        count, cls = np.zeros(len(hashes) // 8, np.int64), np.zeros(len(hashes) // 8, np.uint8)
+        count, cls = np.zeros(size, np.int64), np.zeros(size, np.uint8)
         at = right.column("at").to_numpy()
         count[at], cls[at] = right.column("n").to_numpy(), right.column("cls").to_numpy()
         first = np.cumsum(lengths) - lengths
@@ -362,7 +363,7 @@ def coded(state: DataFrame, found: DataFrame, fields: list[T.StructField]) -> Da
         return pa.Table.from_arrays(values, names=[*keep.schema.names, "n_tokens", "n_known", "words", "classes", "trains"])
 
     more = T.StructType().add("n_tokens", "long").add("n_known", "long").add("words", "double").add("classes", "binary").add("trains", "boolean")
-    both = state.select("chunk", "hashes", "body").groupBy("chunk").cogroup(found.where("chunk >= 0").groupBy("chunk"))
+    both = state.select("chunk", "size", "body").groupBy("chunk").cogroup(found.where("chunk >= 0").groupBy("chunk"))
     return both.applyInArrow(run, T.StructType([*fields, *more.fields]))
 
 
@@ -415,7 +416,7 @@ def scores(df: DataFrame, text: Column, held: Column, keep: list[str]) -> DataFr
     spark = df.sparkSession
     source = df.select(text.alias("__text"), (~held).alias("__train"), *[F.col(f"`{c}`") for c in keep])
     fields = source.schema.fields[2:]
-    state = materialize(map_batches(source, _chunks, "chunk bigint, hashes binary, counts binary, body binary"), "chunks")
+    state = materialize(map_batches(source, _chunks, "chunk bigint, size int, hashes binary, counts binary, body binary"), "chunks")
     vocabulary = materialize(map_batches(state.select("hashes", "counts"), _words, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")), "vocabulary")
     n, v = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     frequent = [r["h"] for r in vocabulary.where(F.col("h") != int(END_HASH)).orderBy(F.col("n").desc(), "h").limit(CORE - 1).collect()]
