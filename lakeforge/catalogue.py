@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .flows import FLOWS
 from .models import MODELS
 from .operators import loads, temporal, windows
+from .products import PRODUCTS
 from .tables import TABLES
 
 
@@ -146,8 +147,8 @@ CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, (f, _) in (CATALOGUE | MODELS | FLOWS | TABLES).items()}
+    return {k: f for k, (f, _) in (CATALOGUE | MODELS | FLOWS | TABLES | PRODUCTS).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for k, (_, s) in (CATALOGUE | MODELS | FLOWS | TABLES).items()}
+    return {k: s for k, (_, s) in (CATALOGUE | MODELS | FLOWS | TABLES | PRODUCTS).items()}

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import BinaryType
 
 from .functions import lsn_text
+from .operators import layout
 
-#: Marks of a first extract.
+#: Marks of a first extract. Sources whose dates begin later than others' can take LATE_START.
 START = {"watermark": "1900-01-01T00:00:00Z", "cdc": "0x0"}
+LATE_START = "1983-01-01"
 
 
 def predicate(text: str | None) -> str | None:
@@ -30,7 +35,7 @@ def next_query(config: dict, state: dict | None = None) -> str:
         if not column:
             raise ValueError(f"ingest type {kind} needs sourceWatermarkIdentifier")
         same = state is not None and state.get("identifier") == column and state.get("value") is not None
-        mark = state["value"] if same else START[kind]
+        mark = state["value"] if same else config.get("initialWatermark", START[kind]) if kind == "watermark" else START[kind]
         if kind == "cdc" and not re.fullmatch(r"0x[0-9A-Fa-f]+", str(mark)):
             raise ValueError(f"not a log position: {mark!r}")
         quoted = str(mark).replace("'", "''")
@@ -64,3 +69,58 @@ def advance(df: DataFrame, column: str, state: dict | None = None) -> dict:
     top = df.agg(lsn_text(top) if isinstance(df.schema[column].dataType, BinaryType) else top.cast("string")).first()[0]
     old = state if state and state.get("identifier") == column else {"identifier": column, "value": None}
     return old if top is None else {"identifier": column, "value": top}
+
+
+# --- extraction in parts
+
+
+def _literal(value, kind: T.DataType) -> str:
+    """A value as SQL text that databases and Spark read alike."""
+    if isinstance(kind, T.NumericType):
+        return repr(value) if isinstance(value, float) else str(value)
+    text = str(value).replace("'", "''")
+    return f"TIMESTAMP '{text}'" if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else f"DATE '{text}'" if isinstance(kind, T.DateType) else f"'{text}'"
+
+
+def split_predicates(df: DataFrame, column: str, parts: int) -> list[str]:
+    """Predicates that hold for each row once, for reading in parts of about equal size.
+
+    Values that alone fill a part get one of their own, so do nulls; what is left is cut at
+    approximate quantiles. ``df`` is the source or a table with the same key (its statistics are all
+    that is used). Numbers, dates and times are cut; other types by their frequent values alone.
+    """
+    if parts < 1:
+        raise ValueError("at least one part is needed")
+    kind, c = df.schema[column].dataType, f"`{column}`"
+    rows = df.select(F.col(c).alias("v"))
+    n, nulls = rows.agg(F.count("*"), F.count_if(F.col("v").isNull())).first()
+    most = max(1, n // parts)
+    hot = [r["v"] for r in rows.where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n")).where(F.col("n") > most).orderBy("v").select("v").collect()]  # fewer than parts
+    listed = ", ".join(_literal(v, kind) for v in hot)
+    out = ([f"{c} IS NULL"] if nulls else []) + [f"{c} = {_literal(v, kind)}" for v in hot]
+    rest = rows.where(F.col("v").isNotNull() & ~F.col("v").isin(*hot)) if hot else rows.where("v IS NOT NULL")
+    left = max(1, parts - len(out))
+    edges: list = []
+    if left > 1 and isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        number = layout.as_number(F.col("v"), kind)
+        cuts = rest.agg(F.percentile_approx(number, [k / left for k in range(1, left)], 100 * left)).first()[0]
+        # A cut is a value that is there, so that text and comparison are exact.
+        firsts = rest.select("v", layout.rank(number, sorted(set(cuts or []))).alias("k")).groupBy("k").agg(F.min("v").alias("v")).where("k > 0").orderBy("k").collect()
+        edges = [r["v"] for r in firsts]
+    spans = [(None, edges[0])] + list(zip(edges, edges[1:] + [None], strict=True)) if edges else [(None, None)]
+    for low, high in spans:
+        found = ([f"{c} >= {_literal(low, kind)}"] if low is not None else []) + ([f"{c} < {_literal(high, kind)}"] if high is not None else [])
+        found += [f"{c} NOT IN ({listed})"] if hot else [] if found else [f"{c} IS NOT NULL"]
+        out.append(" AND ".join(found))
+    return out
+
+
+def extract_parts(df: DataFrame, predicates: list[str], number: str = "part") -> DataFrame:
+    """The rows of an offline source with the number of their part; a row that no predicate holds for is an error."""
+    held = reduce(lambda found, k: found.when(F.expr(predicates[k]), k), range(len(predicates)), F.when(F.lit(False), -1))
+    return df.withColumn(number, held.otherwise(F.raise_error("a row is in no part").cast("int")))
+
+
+def read_parts(spark: SparkSession, url: str, table: str, predicates: list[str], properties: dict[str, str]) -> DataFrame:
+    """A database table read by one connection a predicate."""
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties)

@@ -16,7 +16,7 @@ def cluster_columns(keys: list[str], first: str | None = None, most: int = MOST)
     return wanted[:most], wanted[most:]
 
 
-def _number(c: Column, kind: T.DataType) -> Column:
+def as_number(c: Column, kind: T.DataType) -> Column:
     """A number in the column's order; of a string its first six bytes."""
     if isinstance(kind, T.StringType):
         return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
@@ -25,7 +25,7 @@ def _number(c: Column, kind: T.DataType) -> Column:
     return c.cast("double")
 
 
-def _rank(x: Column, edges: list) -> Column:
+def rank(x: Column, edges: list) -> Column:
     """How many of the sorted edges are at or below a number, found by halving; 0 for null."""
     if not edges:
         return F.lit(0)
@@ -35,14 +35,14 @@ def _rank(x: Column, edges: list) -> Column:
 
 def interleaved(df: DataFrame, columns: list[str]) -> Column:
     """A key whose ranges are narrow in each of the columns: their ranks among 256 quantiles, bit by bit in turn. Nulls come first."""
-    numbers = {c: _number(F.col(f"`{c}`"), df.schema[c].dataType) for c in columns}
+    numbers = {c: as_number(F.col(f"`{c}`"), df.schema[c].dataType) for c in columns}
     cuts = df.agg(*[F.percentile_approx(x, [k / (1 << BITS) for k in range(1, 1 << BITS)], 4096).alias(c) for c, x in numbers.items()]).first()
     key = F.lit(0).cast("long")
     for j, (c, x) in enumerate(numbers.items()):
         edges = sorted(set(cuts[c] or []))
-        rank = _rank(x, edges)
+        at = rank(x, edges)
         for b in range(BITS):
-            key = key.bitwiseOR(F.shiftleft(F.shiftright(rank, b).bitwiseAND(1).cast("long"), b * len(columns) + j))
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(at, b).bitwiseAND(1).cast("long"), b * len(columns) + j))
     return key
 
 

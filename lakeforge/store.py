@@ -148,6 +148,10 @@ class TableStore:
         kind = "version long, operation string, rows long, batch_id string, at timestamp, metrics map<string,long>"
         return self.spark.read.schema(kind).json(f"{self.root}/{name}/log/{'[0-9]' * 20}.json")
 
+    def metrics(self, name: str, version: int) -> dict[str, int]:
+        """What the commit of a version counted."""
+        return json.loads(self._text(self._log(name, version)))["metrics"]
+
     def _log(self, name: str, version: int, kind: str = "json") -> str:
         return f"{self.root}/{name}/log/{version:020d}.{kind}"
 
