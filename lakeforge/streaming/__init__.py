@@ -20,13 +20,13 @@ def trigger(name: str) -> dict:
     raise ValueError(f"unknown trigger {name!r}")
 
 
-def start(stream: DataFrame, store: TableStore, table: str, strategy: str, keys: list[str], checkpoint: str, when: str = "availableNow", chain: list[Callable[[DataFrame], DataFrame]] = ()) -> StreamingQuery:
-    """Load each micro-batch by a strategy. The batch id is in the commit, so a replayed batch changes nothing."""
+def start(stream: DataFrame, store: TableStore, table: str, strategy: str, keys: list[str], checkpoint: str, when: str = "availableNow", chain: list[Callable[[DataFrame], DataFrame]] = (), **options) -> StreamingQuery:
+    """Load each micro-batch by a strategy with its options. The batch id is in the commit, so a replayed batch changes nothing."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
         for step in chain:
             batch = step(batch)
-        store.load(table, strategy, batch, keys, f"{checkpoint}#{batch_id}")
+        store.load(table, strategy, batch, keys, f"{checkpoint}#{batch_id}", **options)
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(**trigger(when)).start()
 
