@@ -4,9 +4,16 @@ An Aho-Corasick automaton over magic bytes finds every place where a known forma
 start; a validator for each format checks structure and lengths there. What holds at
 offset 0 corrects the declared type; what holds further in is carved out.
 
+Each end mark is looked up among all of its places, found once, and walks over chunks that
+meet go on together, so a text full of magic bytes takes time in proportion to its length.
+(Only a gzip stream or a WAV file that begins inside another one is read again.)
+
 Defined results: null or empty bytes sniff as ``empty``; bytes no validator accepts as
-``unknown``; overlapping finds are all listed, by offset and then type. Equal bytes give
-equal values, and an empty table gives an empty table.
+``unknown``; of overlapping finds inside a file the first counts, of those at one place the
+longest, then the first type by name, so parts carved out don't overlap; bytes of any length
+are taken whole; repeated rows are rows like others; a kept column with a result's name is an
+error, other columns aren't read. Equal bytes give equal values, and an empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -14,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
@@ -46,7 +54,7 @@ def _automaton():
     return a
 
 
-def _wav(b: bytes, at: int) -> int:
+def _wav(b: bytes, at: int, marks: Marks) -> int:
     if b[at : at + 4] != b"RIFF" or len(b) < at + 44:
         return 0
     size = struct.unpack_from("<I", b, at + 4)[0] + 8
@@ -62,69 +70,115 @@ def _wav(b: bytes, at: int) -> int:
     return size if {b"fmt ", b"data"} <= seen else 0
 
 
-def _png(b: bytes, at: int) -> int:
-    pos = at + 8
-    while pos + 12 <= len(b):
-        n, kind = struct.unpack_from(">I4s", b, pos)
-        if pos + 12 + n > len(b) or zlib.crc32(b[pos + 4 : pos + 8 + n]) != struct.unpack_from(">I", b, pos + 8 + n)[0] or (pos == at + 8) != (kind == b"IHDR"):
-            return 0
-        pos += 12 + n
-        if kind == b"IEND":
-            return pos - at
-    return 0
-
-
-def _gif(b: bytes, at: int) -> int:
+class Marks:
+    """Places of end marks in some bytes, and where walks over their chunks end; found once, used by all finds."""
+
+    def __init__(self, b: bytes):
+        self.b, self.places, self.ends = b, {}, {}
+
+    def next(self, mark: bytes, at: int) -> int:
+        """The first place of a mark at or after a place, or -1."""
+        if mark not in self.places:
+            found, at_ = [], self.b.find(mark)
+            while at_ >= 0:
+                found.append(at_)
+                at_ = self.b.find(mark, at_ + 1)
+            self.places[mark] = found
+        found = self.places[mark]
+        k = bisect_left(found, at)
+        return found[k] if k < len(found) else -1
+
+    def walk(self, kind: str, pos: int, step) -> int:
+        """Where steps from a place come to an end (0: they don't): ``step`` gives the next place, or (end,). Walks that meet share their end."""
+        seen, ends = [], self.ends.setdefault(kind, {})
+        while pos not in ends:
+            seen.append(pos)
+            to = step(self.b, pos)
+            if isinstance(to, tuple):
+                ends[pos] = to[0]
+            else:
+                pos = to
+        ends.update(dict.fromkeys(seen, ends[pos]))
+        return ends[pos]
+
+
+def _chunk(b: bytes, pos: int) -> tuple[int, bytes] | None:
+    """The end and name of a PNG chunk whose check sum is right."""
+    if pos + 12 > len(b):
+        return None
+    n, kind = struct.unpack_from(">I4s", b, pos)
+    whole = pos + 12 + n <= len(b) and zlib.crc32(b[pos + 4 : pos + 8 + n]) == struct.unpack_from(">I", b, pos + 8 + n)[0]
+    return (pos + 12 + n, kind) if whole else None
+
+
+def _png_step(b: bytes, pos: int):
+    found = _chunk(b, pos)
+    if found is None or found[1] == b"IHDR":
+        return (0,)
+    return (found[0],) if found[1] == b"IEND" else found[0]
+
+
+def _png(b: bytes, at: int, marks: Marks) -> int:
+    head = _chunk(b, at + 8)
+    end = marks.walk("png", head[0], _png_step) if head and head[1] == b"IHDR" else 0
+    return end - at if end else 0
+
+
+def _skip(b: bytes, p: int) -> int:
+    while p < len(b) and b[p]:
+        p += b[p] + 1
+    return p + 1
+
+
+def _gif_step(b: bytes, pos: int):
+    if pos >= len(b):
+        return (0,)
+    if b[pos] == 0x3B:
+        return (pos + 1,)
+    if b[pos] == 0x21:
+        return _skip(b, pos + 2)
+    if b[pos] == 0x2C and pos + 10 <= len(b):
+        own = b[pos + 9]
+        return _skip(b, pos + 11 + (3 << (own & 7) + 1 if own & 128 else 0))
+    return (0,)
+
+
+def _gif(b: bytes, at: int, marks: Marks) -> int:
     if b[at : at + 6] not in (b"GIF87a", b"GIF89a") or len(b) < at + 14:
         return 0
     flags = b[at + 10]
-    pos = at + 13 + (3 << (flags & 7) + 1 if flags & 128 else 0)
-
-    def blocks(p: int) -> int:
-        while p < len(b) and b[p]:
-            p += b[p] + 1
-        return p + 1
-
-    while pos < len(b):
-        if b[pos] == 0x3B:
-            return pos + 1 - at
-        if b[pos] == 0x21:
-            pos = blocks(pos + 2)
-        elif b[pos] == 0x2C and pos + 10 <= len(b):
-            own = b[pos + 9]
-            pos = blocks(pos + 11 + (3 << (own & 7) + 1 if own & 128 else 0))
-        else:
-            return 0
-    return 0
+    end = marks.walk("gif", at + 13 + (3 << (flags & 7) + 1 if flags & 128 else 0), _gif_step)
+    return end - at if end else 0
 
 
-def _jpeg(b: bytes, at: int) -> int:
-    pos = at + 2
-    while pos + 4 <= len(b) and b[pos] == 0xFF:
+def _jpeg(b: bytes, at: int, marks: Marks) -> int:
+    def step(b: bytes, pos: int):
+        if pos + 4 > len(b) or b[pos] != 0xFF:
+            return (0,)
         if b[pos + 1] == 0xDA:
-            end = b.find(b"\xff\xd9", pos)
-            return end + 2 - at if end >= 0 else 0
+            return (marks.next(b"\xff\xd9", pos) + 2,) if marks.next(b"\xff\xd9", pos) >= 0 else (0,)
         n = struct.unpack_from(">H", b, pos + 2)[0]
-        if n < 2 or pos + 2 + n > len(b):
-            return 0
-        pos += 2 + n
-    return 0
+        return (0,) if n < 2 or pos + 2 + n > len(b) else pos + 2 + n
+
+    end = marks.walk("jpeg", at + 2, step)
+    return end - at if end else 0
 
 
-def _pdf(b: bytes, at: int) -> int:
-    end = b.find(b"%%EOF", at)
-    return end + 5 - at if end >= 0 and b[at + 5 : at + 6].isdigit() and b.find(b"obj", at, end) >= 0 else 0
+def _pdf(b: bytes, at: int, marks: Marks) -> int:
+    end = marks.next(b"%%EOF", at)
+    return end + 5 - at if end >= 0 and b[at + 5 : at + 6].isdigit() and 0 <= marks.next(b"obj", at) <= end - 3 else 0
 
 
-def _zip(b: bytes, at: int) -> int:
-    end = b.find(b"PK\x05\x06", at)
+def _zip(b: bytes, at: int, marks: Marks) -> int:
+    end = marks.next(b"PK\x05\x06", at)
     if end < 0 or len(b) < end + 22:
         return 0
     size, start = struct.unpack_from("<II", b, end + 12)
-    return end + 22 + struct.unpack_from("<H", b, end + 20)[0] - at if at + start + size == end else 0
+    length = end + 22 + struct.unpack_from("<H", b, end + 20)[0] - at
+    return length if at + start + size == end and at + length <= len(b) else 0
 
 
-def _gzip(b: bytes, at: int) -> int:
+def _gzip(b: bytes, at: int, marks: Marks) -> int:
     d = zlib.decompressobj(31)
     try:
         pos = at
@@ -139,7 +193,7 @@ def _gzip(b: bytes, at: int) -> int:
         return 0
 
 
-def _bmp(b: bytes, at: int) -> int:
+def _bmp(b: bytes, at: int, marks: Marks) -> int:
     if len(b) < at + 54:
         return 0
     size, zero, start, head = struct.unpack_from("<IIII", b, at + 2)
@@ -150,18 +204,32 @@ VALIDATORS = {"wav": _wav, "png": _png, "gif": _gif, "jpeg": _jpeg, "pdf": _pdf,
 
 
 def find_media(data: bytes, automaton) -> list[tuple[int, str, int]]:
-    """Offset, type and length of all that a validator accepts."""
-    out = []
+    """Offset, type and length of what validators accept: what begins at 0, then what lies inside without overlap."""
+    marks, out, first, free = Marks(data), [], [], 1
+    places: dict[int, set[str]] = {}
     for last, (kind, place, width) in automaton.iter(data.decode("latin-1")):
-        at = last + 1 - width - place
-        if at >= 0 and (n := VALIDATORS[kind](data, at)):
-            out.append((at, kind, n))
-    return sorted(set(out))
+        places.setdefault(last + 1 - width - place, set()).add(kind)
+    for at in sorted(places):
+        if at == 0 or at >= free:
+            found = sorted((-n, kind) for kind in places[at] if (n := VALIDATORS[kind](data, at, marks)))
+            if found and at == 0:
+                first = [(0, found[0][1], -found[0][0])]
+            elif found:
+                out.append((at, found[0][1], -found[0][0]))
+                free = at - found[0][0]
+    return first + out
+
+
+def _free(keep: list[str], names: tuple[str, ...]) -> None:
+    if taken := {c.lower() for c in keep} & set(names):
+        raise ValueError(f"columns with names of results: {sorted(taken)}")
 
 
 def sniff(df: DataFrame, data: Column, declared: Column, keep: list[str]) -> DataFrame:
     """The columns ``keep``, ``media_type`` (what the bytes are), ``type_corrected`` and ``embedded`` (offset, type, length and bytes of all inside)."""
 
+    _free(keep, ("media_type", "type_corrected", "embedded"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton()
         kind = pa.list_(pa.struct([("offset", pa.int64()), ("type", pa.string()), ("length", pa.int64()), ("bytes", pa.binary())]))
@@ -196,6 +264,7 @@ def unpack(media: bytes) -> bytes:
 
 def store(df: DataFrame, data: Column, keep: list[str]) -> DataFrame:
     """The columns ``keep``, ``n_bytes`` and ``media`` (a WAV file)."""
+    _free(keep, ("n_bytes", "media"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
@@ -207,32 +276,33 @@ def store(df: DataFrame, data: Column, keep: list[str]) -> DataFrame:
 
 
 def features(df: DataFrame, keep: list[str]) -> DataFrame:
-    """Digests and the feature of the column ``media``, read back from its bytes."""
+    """Digests and the feature of the column ``media``, read back from its bytes, with what ``sniff`` found of it."""
+    _free(keep, FEATURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton()
-        for b in slices(batches, 500):
+        for b in slices(batches, 100):
             out = []
-            for m in b.column(0):
+            for m, kind, wrong, embedded in zip(*[b.column(i) for i in range(4)], strict=True):
                 media = m.as_py()
-                found = find_media(media, automaton)
-                kind = next((k for at, k, _ in found if at == 0), "unknown")
                 payload = unpack(media)
-                inside = ",".join(f"{k}@{at - 44}+{n}" for at, k, n in found if at) or "-"
+                # Offsets count from the payload's start.
+                inside = ",".join(f"{x['type']}@{x['offset'] - len(media) + len(payload)}+{x['length']}:{hashlib.sha256(x['bytes']).hexdigest()}" for x in embedded.as_py()) or "-"
                 mean = sum(payload) // len(payload)
-                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), f"{kind};{RATE};1;8;mean={mean};peak={max(payload)};inside={inside}"))
+                feature = f"{kind};corrected={int(wrong.as_py())};{RATE};1;8;mean={mean};peak={max(payload)};inside={inside}"
+                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), feature))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]], names=[*keep, *FEATURES])
+            yield pa.RecordBatch.from_arrays([*b.columns[4:], *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]], names=[*keep, *FEATURES])
 
-    source = df.select("media", *[F.col(f"`{c}`") for c in keep])
+    source = df.select("media", "media_type", "type_corrected", "embedded", *[F.col(f"`{c}`") for c in keep])
     more = T._parse_datatype_string("payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
-    return map_batches(source, run, T.StructType([*source.schema.fields[1:], *more.fields]))
+    return map_batches(source, run, T.StructType([*source.schema.fields[4:], *more.fields]))
 
 
 FEATURES = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
 def op7_media(spark, sf_dir: str) -> DataFrame:
-    """Every document stored as samples, read back, sniffed and digested."""
+    """Every document stored as samples under the type of a text, sniffed, which corrects it and carves what lies inside, read back and digested."""
     stored = store(table(spark, sf_dir, "documents"), text_bytes(F.col("text")), ["doc_id"])
-    return features(stored, ["doc_id", "n_bytes"])
+    keep = ["doc_id", "n_bytes"]
+    return features(sniff(stored, F.col("media"), F.lit("text"), [*keep, "media"]), keep)
