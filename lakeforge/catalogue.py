@@ -119,7 +119,33 @@ def union_distinct_keys(spark, d):
     return _t(spark, d, "orders").select(F.col("o_custkey").alias("custkey")).union(_t(spark, d, "customer").select("c_custkey")).distinct()
 
 
+def _hot(spark, d):
+    """Events, a third of which one user has."""
+    return _t(spark, d, "events").withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 1).otherwise(F.col("user_id")).cast("long"))
+
+
+def asof_hot_key(spark, d):
+    """The last purchase before each view where one user has a third of all events: histories are cut into blocks of time."""
+    e = _hot(spark, d).select("event_id", "user_id", "ts", "event_type").where("event_type IN ('view', 'purchase')")
+    found = temporal.as_of_within(e, "user_id", "ts", F.col("event_type") == "purchase", "event_id", "purchase_id", blocks=16)
+    return found.where("event_type = 'view'").select("event_id", "user_id", "purchase_id")
+
+
+def versions_hot_key(spark, d):
+    e = _hot(spark, d).select("user_id", "event_id", "event_type", "ts")
+    return temporal.versions(e, "user_id", "ts", "event_id", blocks=16).drop("ts")
+
+
+def dedup_hot_key(spark, d):
+    """All rows of repeated keys where one key has a third of the rows: keys are summed first, rows of a repeated one are spread."""
+    part = F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_partkey")).cast("long").alias("part")
+    li = _t(spark, d, "lineitem").select(part, "l_suppkey", "l_orderkey", "l_linenumber")
+    marked = windows.mark_duplicates(li, ["part", "l_suppkey"], "quarantine_all", salts=16)
+    return marked.where("is_quarantined = 1").drop("is_quarantined")
+
+
 _C = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
+_HOT = "(SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id, ts, event_type FROM events)"
 _TARGET, _SOURCE = f"({_C} WHERE c_mktsegment <> 'BUILDING')", "(SELECT c_custkey, c_name, lower(c_mktsegment) AS c_mktsegment FROM customer WHERE c_mktsegment <> 'MACHINERY')"
 _LI = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem"
 _BY_KEY = f"SELECT * FROM {_SOURCE} UNION ALL SELECT * FROM {_TARGET} t WHERE t.c_custkey NOT IN (SELECT c_custkey FROM {_SOURCE})"
@@ -143,6 +169,9 @@ CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "funnel_ratios": (funnel_ratios, "SELECT user_id, count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'click') AS clicks, round(count(*) FILTER (event_type = 'click') / nullif(count(*) FILTER (event_type = 'view'), 0), 6) AS click_rate FROM events GROUP BY 1"),
     "monthly_yoy": (monthly_yoy, "WITH o AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, count(*) AS n FROM orders GROUP BY 1, 2) SELECT o.y, o.m, o.n, p.n AS prior_n FROM o LEFT JOIN o p ON p.y + 1 = o.y AND p.m = o.m"),
     "explode_delimited": (explode_delimited, "SELECT p_partkey, generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS word FROM (SELECT p_partkey, string_split(p_type, ' ') AS w FROM part)"),
+    "asof_hot_key": (asof_hot_key, f"SELECT event_id, user_id, purchase_id FROM (SELECT *, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_type, event_id) AS purchase_id FROM {_HOT} WHERE event_type IN ('view', 'purchase')) WHERE event_type = 'view'"),
+    "versions_hot_key": (versions_hot_key, f"SELECT user_id, event_id, event_type, ts AS valid_from, lead(ts) OVER w AS valid_to, CASE WHEN lead(ts) OVER w IS NULL THEN 1 ELSE 0 END AS is_current FROM {_HOT} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"),
+    "dedup_hot_key": (dedup_hot_key, "SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS part, l_suppkey, l_orderkey, l_linenumber FROM lineitem QUALIFY count(*) OVER (PARTITION BY CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END, l_suppkey) > 1"),
     "union_distinct_keys": (union_distinct_keys, "SELECT o_custkey AS custkey FROM orders UNION SELECT c_custkey FROM customer"),
 }
 

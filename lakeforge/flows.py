@@ -31,8 +31,9 @@ def _sides(spark, d):
 
 
 def merge_evolving(spark, d):
-    """Merge by name; the source's new column is added."""
-    return loads.load("merge", *_sides(spark, d), ["c_custkey"])
+    """Merge by name; the source's new column is added, rows that the source hasn't keep what they had."""
+    target, source = _sides(spark, d)
+    return loads.load("merge", target.withColumn("c_note", F.lower("c_mktsegment")), source.where("c_custkey % 4 <> 0"), ["c_custkey"])
 
 
 def merge_changed(spark, d):
@@ -55,8 +56,10 @@ def update_where(spark, d):
 
 
 def scd2_synced(spark, d):
-    """A plain table becomes a history and gets the source's new column."""
-    return loads.load("scd2_synced", *_sides(spark, d), ["c_custkey"], now=_now())
+    """A plain table becomes a history and gets the source's new column, which is null in a third of its rows: these are unchanged unless the segment is."""
+    target, source = _sides(spark, d)
+    source = source.withColumn("c_tier", F.when(F.col("c_custkey") % 3 != 0, F.col("c_tier")))
+    return loads.load("scd2_synced", target, source, ["c_custkey"], now=_now())
 
 
 # --- quality
@@ -142,12 +145,13 @@ def star_lookup_default_key(spark, d):
 
 
 def redaction_coalesce(spark, d):
-    """A redacted live value is taken from the archive; a missing live row too."""
+    """Live values count unless they are redacted or missing, then those of the archive, which are older, do; for each column by itself."""
     o = _t(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    live = o.where("o_orderstatus <> 'F'").withColumn("v", F.when(F.col("o_orderpriority") == "1-URGENT", "REDACTED").otherwise(F.col("o_orderpriority"))).select("o_orderkey", "v")
-    archive = o.withColumnRenamed("o_orderpriority", "a")
-    value = F.when(F.col("v") == "REDACTED", F.col("a")).otherwise(F.coalesce("v", "a"))
-    return archive.join(live, "o_orderkey", "left").select("o_orderkey", value.alias("priority"))
+    kept = {"priority": F.when(F.col("o_orderpriority") == "1-URGENT", "REDACTED").otherwise(F.col("o_orderpriority")), "status": F.when(F.col("o_orderkey") % 3 == 0, "redacted ").otherwise(F.col("o_orderstatus"))}
+    live = o.where("o_orderkey % 5 <> 0").select("o_orderkey", *[v.alias(k) for k, v in kept.items()])
+    archive = o.where("o_orderkey % 7 <> 0").select(F.col("o_orderkey").alias("key"), F.concat(F.lit("old "), F.col("o_orderpriority")).alias("a_priority"), F.lower("o_orderstatus").alias("a_status"))
+    both = live.join(archive, live.o_orderkey == archive.key, "full_outer")
+    return both.select(F.coalesce("o_orderkey", "key").alias("o_orderkey"), *[X.unredacted(F.col(k), F.col(f"a_{k}")).alias(k) for k in kept])
 
 
 def presence_flag(spark, d):
@@ -195,15 +199,16 @@ def text_shapes(spark, d):
     p = _t(spark, d, "part")
     words = F.transform(F.split("p_type", " "), F.lower)
     return p.select(
-        "p_partkey", F.lpad(F.col("p_size").cast("string"), 4, "0").alias("size_code"), X.strip_nbsp(F.concat(F.lit("  "), F.col("p_brand"), F.lit(" "))).alias("brand"),
+        "p_partkey", F.lpad(F.col("p_size").cast("string"), 4, "0").alias("size_code"), X.strip_nbsp(F.concat(F.lit("\u00a0 "), F.replace(F.col("p_brand"), F.lit("#"), F.lit("\u00a0#")), F.lit(" \u00a0"))).alias("brand"),
         F.size(F.split("p_type", " ")).cast("long").alias("n_words"), F.array_join(words, "-").alias("slug"), F.array_contains(words, "steel").alias("is_steel"),
     )
 
 
 def default_compare(spark, d):
-    """A compare that takes missing for empty, and a filter of masters that name themselves."""
-    e = _t(spark, d, "events").withColumn("code", F.when(F.col("event_type") != "error", F.col("event_type")))
-    return e.where((F.coalesce(F.lower(F.trim("code")), F.lit("")) != "view") & (F.col("event_id") == F.col("event_id"))).select("event_id")
+    """A compare that takes missing for empty, and a filter of masters: orders whose base code is their own."""
+    o = _t(spark, d, "orders").withColumns({"code": F.concat(F.lit("P"), F.col("o_orderkey")), "base": F.concat(F.lit("P"), F.col("o_orderkey") - F.col("o_orderkey") % 4)})
+    o = o.withColumn("kind", F.when(F.col("o_orderstatus") != "P", F.concat(F.lit(" "), F.col("o_orderstatus"))))
+    return o.where((F.coalesce(F.lower(F.trim("kind")), F.lit("")) != "f") & (F.col("code") == F.col("base"))).select("o_orderkey", "kind")
 
 
 def column_order(spark, d):
@@ -247,10 +252,11 @@ def three_part_key(spark, d):
 
 
 def absent_columns(spark, d):
-    """Columns that a source has and its target lacks, with their types: what a schema sync would add."""
-    target, source = _sides(spark, d)
-    rows = [(f.name, f.dataType.simpleString()) for f in source.schema if f.name not in target.columns]
-    return spark.createDataFrame(rows, "name string, type string")
+    """Fields that documents have and their table lacks, with how many have them: what a schema sync would add."""
+    e = _t(spark, d, "events")
+    more = F.when(F.col("event_type") == "error", F.struct(F.lit(1).alias("code"), F.col("value").alias("value"))).otherwise(F.struct(F.lit(None).cast("int").alias("code"), F.col("value").alias("value")))
+    document = F.map_concat(F.from_json("props", "map<string,string>"), F.from_json(F.to_json(more), "map<string,string>"))
+    return X.absent_fields(e.select(document.alias("document")), "document", e.columns)
 
 
 _C = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
@@ -260,15 +266,20 @@ _DUP = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM l
 _OLD = "SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS c FROM lineitem"
 
 FLOWS = {
-    "merge_evolving": (merge_evolving, f"SELECT * FROM {_SRC}"),
+    "merge_evolving": (
+        merge_evolving,
+        f"SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey, coalesce(s.c_name, t.c_name) AS c_name, coalesce(s.c_mktsegment, t.c_mktsegment) AS c_mktsegment, lower(t.c_mktsegment) AS c_note, s.c_tier "
+        f"FROM {_TGT} t FULL JOIN (SELECT * FROM {_SRC} WHERE c_custkey % 4 <> 0) s ON s.c_custkey = t.c_custkey",
+    ),
     "merge_changed": (merge_changed, f"SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_mktsegment IN ('TOOLS', 'BUILDING') THEN c_tier END AS c_tier FROM {_SRC}"),
     "overwrite_load": (overwrite_load, f"SELECT * FROM {_SRC}"),
     "update_matched": (update_matched, f"SELECT t.c_custkey, t.c_name, s.c_mktsegment FROM {_TGT} t JOIN {_SRC} s USING (c_custkey)"),
     "update_where": (update_where, "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE 'live' END AS state FROM orders"),
     "scd2_synced": (
         scd2_synced,
-        f"SELECT c_custkey, c_name, c_mktsegment, CAST(NULL AS BIGINT) AS c_tier, CAST(NULL AS TIMESTAMP) AS active_start, TIMESTAMP '{NOW}' AS active_end, 0 AS is_current FROM {_TGT} "
-        f"UNION ALL SELECT c_custkey, c_name, c_mktsegment, c_tier, TIMESTAMP '{NOW}', NULL, 1 FROM {_SRC}",
+        f"WITH o AS (SELECT *, c_custkey % 3 <> 0 OR c_mktsegment = 'MACHINERY' AS changed FROM {_TGT}) SELECT c_custkey, c_name, c_mktsegment, CAST(NULL AS BIGINT) AS c_tier, CAST(NULL AS TIMESTAMP) AS active_start, "
+        f"CASE WHEN changed THEN TIMESTAMP '{NOW}' END AS active_end, CASE WHEN changed THEN 0 ELSE 1 END AS is_current FROM o "
+        f"UNION ALL SELECT s.c_custkey, s.c_name, s.c_mktsegment, CASE WHEN s.c_custkey % 3 <> 0 THEN s.c_tier END, TIMESTAMP '{NOW}', NULL, 1 FROM {_SRC} s LEFT JOIN o USING (c_custkey) WHERE coalesce(changed, true)",
     ),
     "quarantine_flow": (
         quarantine_flow,
@@ -306,7 +317,11 @@ FLOWS = {
         "SELECT l_orderkey, l_linenumber, l_partkey, CAST(coalesce(o_orderkey, -1) AS BIGINT) AS order_key, CAST(coalesce(c_custkey, -1) AS BIGINT) AS customer_key, CAST(coalesce(n_nationkey, -1) AS BIGINT) AS nation_key, CAST(coalesce(n_regionkey, -1) AS BIGINT) AS region_key "
         "FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey",
     ),
-    "redaction_coalesce": (redaction_coalesce, "WITH live AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'REDACTED' ELSE o_orderpriority END AS v FROM orders WHERE o_orderstatus <> 'F') SELECT a.o_orderkey, CASE WHEN v = 'REDACTED' OR v IS NULL THEN o_orderpriority ELSE v END AS priority FROM orders a LEFT JOIN live USING (o_orderkey)"),
+    "redaction_coalesce": (
+        redaction_coalesce,
+        "SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 AND o_orderpriority <> '1-URGENT' THEN o_orderpriority WHEN o_orderkey % 7 <> 0 THEN 'old ' || o_orderpriority END AS priority, "
+        "CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 3 <> 0 THEN o_orderstatus WHEN o_orderkey % 7 <> 0 THEN lower(o_orderstatus) END AS status FROM orders WHERE o_orderkey % 5 <> 0 OR o_orderkey % 7 <> 0",
+    ),
     "presence_flag": (presence_flag, "SELECT c_custkey, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) THEN 'Y' ELSE 'N' END AS has_orders FROM customer"),
     "prefixed_union": (prefixed_union, "SELECT 'C-' || c_custkey AS party_key, c_name AS name, c_mktsegment AS segment FROM customer UNION ALL SELECT 'S-' || s_suppkey, s_name, NULL FROM supplier"),
     "entity_attribute_exists": (entity_attribute_exists, "SELECT event_id, user_id FROM events WHERE event_type = 'view' AND user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')"),
@@ -324,9 +339,9 @@ FLOWS = {
     "top_orders": (top_orders, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10"),
     "text_shapes": (
         text_shapes,
-        "SELECT p_partkey, lpad(CAST(p_size AS VARCHAR), 4, '0') AS size_code, p_brand AS brand, CAST(len(string_split(p_type, ' ')) AS BIGINT) AS n_words, replace(lower(p_type), ' ', '-') AS slug, list_contains(string_split(lower(p_type), ' '), 'steel') AS is_steel FROM part",
+        "SELECT p_partkey, lpad(CAST(p_size AS VARCHAR), 4, '0') AS size_code, replace(p_brand, '#', ' #') AS brand, CAST(len(string_split(p_type, ' ')) AS BIGINT) AS n_words, replace(lower(p_type), ' ', '-') AS slug, list_contains(string_split(lower(p_type), ' '), 'steel') AS is_steel FROM part",
     ),
-    "default_compare": (default_compare, "SELECT event_id FROM events WHERE event_type <> 'view'"),
+    "default_compare": (default_compare, "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN ' ' || o_orderstatus END AS kind FROM orders WHERE o_orderkey % 4 = 0 AND o_orderstatus <> 'F'"),
     "column_order": (column_order, "SELECT c_custkey, c_name, c_mktsegment FROM customer"),
     "soft_deletes": (
         soft_deletes,
@@ -351,5 +366,5 @@ FLOWS = {
         three_part_key,
         "SELECT l_orderkey, l_linenumber, CAST(min(l_linenumber) OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey) AS BIGINT) AS first_line FROM lineitem",
     ),
-    "absent_columns": (absent_columns, "SELECT 'c_tier' AS name, 'bigint' AS type"),
+    "absent_columns": (absent_columns, "SELECT 'k' AS name, count(*) AS n FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL HAVING count(*) > 0 UNION ALL SELECT 'code', count(*) FROM events WHERE event_type = 'error' HAVING count(*) > 0"),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,18 @@ def clean_name(name: str) -> str:
     return re.sub(r"[^A-Za-z0-9_]", "", name).lower()
 
 
+def unredacted(live: Column, archive: Column, mark: str = "redacted") -> Column:
+    """The live value, or the archive's where it is missing or redacted; case and blanks around the mark don't count."""
+    return F.when(norm_key(live) != mark, live).otherwise(archive)
+
+
+def absent_fields(df: DataFrame, document: str, columns: list[str]) -> DataFrame:
+    """``name, n``: fields of a map column that aren't among the columns (case doesn't count), and how many rows have a value there."""
+    known = F.array(*[F.lit(c.lower()) for c in columns])
+    names = F.map_keys(F.map_filter(document, lambda k, v: v.isNotNull() & ~F.array_contains(known, F.lower(k))))
+    return df.select(F.explode(names).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+
+
 def decision_list(rules: list[tuple[Column, object]], otherwise: object) -> Column:
     """The value of the first rule that holds."""
     out = None

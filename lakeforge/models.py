@@ -22,9 +22,12 @@ def _ts(text):
 
 
 def normalized_key_join(spark, d):
-    n = _t(spark, d, "nation").select("n_nationkey", F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("typed"))
-    names = _t(spark, d, "nation").select("n_name", "n_regionkey")
-    return n.join(names, X.norm_key(n.typed) == X.norm_key(names.n_name)).select("n_nationkey", "n_name", "n_regionkey")
+    """Customers find their nation by its name, typed in several ways; some are misspelt and find none."""
+    n = _t(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    k = F.col("c_custkey")
+    typed = F.when(k % 4 == 0, F.concat(F.lit("  "), F.lower("n_name"))).when(k % 4 == 1, F.concat(F.initcap("n_name"), F.lit(" "))).when(k % 4 == 2, F.col("n_name")).otherwise(F.concat(F.col("n_name"), F.lit("x")))
+    c = _t(spark, d, "customer").join(n, F.col("c_nationkey") == n.n_nationkey).select("c_custkey", typed.alias("typed"))
+    return c.join(n, X.norm_key(c.typed) == X.norm_key(n.n_name)).select("c_custkey", "n_nationkey", "n_name", "n_regionkey")
 
 
 def composite_case_key_lookup(spark, d):
@@ -51,7 +54,7 @@ def _signups(spark, d):
 
 def temporal_dim_lookup(spark, d):
     facts = _t(spark, d, "events").where("event_type = 'purchase'").select("event_id", "user_id", "ts")
-    return temporal.version_at(facts, _signups(spark, d), "user_id", "ts", "version_id", latest_if_none=False).select("event_id", "version_id")
+    return temporal.version_at(facts, _signups(spark, d), "user_id", "ts", "version_id", latest_if_none=False, blocks=16).select("event_id", "version_id")
 
 
 def late_fact_fallback(spark, d):
@@ -124,10 +127,10 @@ def bucket_counts(spark, d):
 
 
 def customer_360(spark, d):
-    o = _t(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.countDistinct("o_orderpriority").alias("n_priorities"), F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ", ").alias("priorities"), F.max("o_orderdate").alias("last_order"))
+    o = _t(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.collect_set("o_orderpriority").alias("own"), F.max("o_orderdate").alias("last_order"))
     c = _t(spark, d, "customer")
     tier = X.decision_list([(F.col("n_orders") >= 20, "gold"), (F.col("n_orders") >= 10, "silver"), (F.col("n_orders") >= 1, "plain")], "none")
-    return c.join(o, c.c_custkey == o.o_custkey, "left").select("c_custkey", F.coalesce("n_orders", F.lit(0)).alias("n_orders"), "n_priorities", "priorities", "last_order", tier.alias("tier"))
+    return c.join(o, c.c_custkey == o.o_custkey, "left").select("c_custkey", F.coalesce("n_orders", F.lit(0)).alias("n_orders"), F.when(F.col("own").isNotNull(), F.size("own")).cast("long").alias("n_priorities"), F.array_join(F.array_sort("own"), ", ").alias("priorities"), "last_order", tier.alias("tier"))
 
 
 def in_force_book(spark, d):
@@ -168,8 +171,10 @@ def row_hash(spark, d):
 
 
 def safe_columns_by_table(spark, d):
-    levels = "VALUES ('a', 'name', 'CD3'), ('a', 'id', 'CD1'), ('a', 'age', 'CD2'), ('b', 'id', 'CD1'), ('c', 'tax', 'CD3') AS v(table_name, column_name, cd_level)"
-    return governance.safe_columns(spark.sql(f"SELECT * FROM {levels}")).withColumn("columns", F.array_join("columns", ","))
+    """A catalogue of columns made of the parts: brands as tables, sizes as columns; a column with a dear part is closed, one without a level too."""
+    level = F.when(F.max("p_retailprice") > 1500, "CD3").when(F.max("p_retailprice") > 1000, "CD2").when(F.max("p_retailprice") > 950, "CD1")
+    catalog = _t(spark, d, "part").groupBy(F.col("p_brand").alias("table_name"), F.concat(F.lit("c"), F.lpad(F.col("p_size").cast("string"), 2, "0")).alias("column_name")).agg(level.alias("cd_level"))
+    return governance.safe_columns(catalog).withColumn("columns", F.array_join("columns", ","))
 
 
 def secured_rows(spark, d):
@@ -222,7 +227,7 @@ _AT = f"SELECT f.event_id, {{}} AS version_id FROM events f LEFT JOIN {_DIM} v O
 _FLAGS = {"discount": "l_discount <= 0.05", "status": "l_linestatus IN ('O', 'F')", "cross": "l_returnflag <> 'R' OR l_linestatus = 'F'"}
 
 MODELS = {
-    "normalized_key_join": (normalized_key_join, "SELECT n_nationkey, n_name, n_regionkey FROM nation"),
+    "normalized_key_join": (normalized_key_join, "SELECT c_custkey, n_nationkey, n_name, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 4 <> 3"),
     "composite_case_key_lookup": (composite_case_key_lookup, "SELECT p_partkey, coalesce(size_key, -1) AS size_key FROM part LEFT JOIN (VALUES (1, 'small', '1'), (2, 'small', '2'), (3, 'middle', '1'), (4, 'middle', '3'), (5, 'large', '5')) AS dim(size_key, band, line) ON line = substr(p_brand, 7, 1) AND band = CASE WHEN p_size < 10 THEN 'small' WHEN p_size < 30 THEN 'middle' ELSE 'large' END"),
     "unified_quarantine_view": (unified_quarantine_view, "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 THEN 1 ELSE 0 END AS is_quarantined FROM lineitem"),
     "prev_event_self_join": (prev_event_self_join, "SELECT event_id, row_number() OVER w AS rcount, lag(event_type) OVER w AS prev_type FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"),
@@ -244,7 +249,7 @@ MODELS = {
     "union_archive": (union_archive, "SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 'live' ELSE 'archive' END AS origin FROM orders"),
     "json_props_extract": (json_props_extract, "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"),
     "row_hash": (row_hash, "SELECT c_custkey, sha256('v' || replace(c_mktsegment, '|', '||') || '|:v' || replace(c_name, '|', '||')) AS dl_rowhash FROM customer"),
-    "safe_columns_by_table": (safe_columns_by_table, "SELECT * FROM (VALUES ('a', 'age,id'), ('b', 'id')) AS v(table_name, columns)"),
+    "safe_columns_by_table": (safe_columns_by_table, "SELECT table_name, string_agg(column_name, ',' ORDER BY column_name) AS columns FROM (SELECT p_brand AS table_name, 'c' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS column_name, max(p_retailprice) AS m FROM part GROUP BY 1, 2) WHERE m > 950 AND m <= 1500 GROUP BY 1"),
     "secured_rows": (secured_rows, "SELECT c_custkey, c_mktsegment FROM customer WHERE c_nationkey < 10"),
     "inline_status_hierarchy": (inline_status_hierarchy, "SELECT coalesce(l0, 'unknown') AS l0, coalesce(l1, 'unknown') AS l1, count(*) AS n FROM orders LEFT JOIN (VALUES ('O', 'open', 'active'), ('F', 'filled', 'done'), ('P', 'pending', 'active')) AS v(code, l1, l0) ON o_orderstatus = code GROUP BY 1, 2"),
     "pivot_status": (pivot_status, 'SELECT o_orderpriority, count(*) FILTER (o_orderstatus = \'F\') AS "F", count(*) FILTER (o_orderstatus = \'O\') AS "O", count(*) FILTER (o_orderstatus = \'P\') AS "P" FROM orders GROUP BY 1'),

@@ -14,10 +14,21 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return ranked.where("__rn = 1").drop("__rn")
 
 
-def mark_duplicates(df: DataFrame, keys: list[str], mode: str, order: list[Column] | None = None, name: str = "is_quarantined") -> DataFrame:
-    """All rows with a 0/1 flag of those to quarantine, from one shuffle; a key with a null is a key like any other."""
+def mark_duplicates(df: DataFrame, keys: list[str], mode: str, order: list[Column] | None = None, name: str = "is_quarantined", salts: int = 1) -> DataFrame:
+    """All rows with a 0/1 flag of those to quarantine; a key with a null is a key like any other.
+
+    One shuffle brings a key's rows together. With ``salts`` over 1 and ``quarantine_all`` they stay
+    apart: keys are summed first, and only repeated ones are joined back, to as many parts of their rows.
+    """
     if mode not in MODES:
         raise ValueError(f"unknown duplicate mode {mode!r}; one of {MODES}")
+    if salts > 1 and mode == "quarantine_all":
+        many = df.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n > 1").select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__of"))
+        salted = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+        meets = F.col("__salt") == F.col("__of")
+        for i, k in enumerate(keys):
+            meets = meets & F.col(f"`{k}`").eqNullSafe(F.col(f"__k{i}"))
+        return salted.join(many, meets, "left").select(*[F.col(f"`{c}`") for c in df.columns], F.col("__of").isNotNull().cast("int").alias(name))
     w = Window.partitionBy(*keys)
     n = F.count("*").over(w) if mode == "quarantine_all" else F.row_number().over(w.orderBy(*(order or [F.col(c) for c in df.columns])))
     return df.withColumn(name, (n > 1).cast("int"))

@@ -192,3 +192,30 @@ def test_retries():
     assert len(tries) == 1 and plans.is_transient(ConcurrentCommit("x"))
     with pytest.raises(ValueError):
         plans.run_groups([[]])
+
+
+def test_blocks_carry_values(spark):
+    from lakeforge.operators import temporal
+
+    rows = [(None if i % 7 == 0 else i % 3, i // 5, i % 4 == 0, i) for i in range(400)] + [(1, None, True, 999), (9, 3, False, 1000)]
+    df = spark.createDataFrame(rows, "k int, t int, good boolean, id int")
+    for blocks in (2, 9):
+        got = temporal.as_of_within(df, "k", "t", F.col("good"), "id", "last", blocks=blocks)
+        assert _rows(got) == _rows(temporal.as_of_within(df, "k", "t", F.col("good"), "id", "last"))
+        assert _rows(temporal.versions(df, "k", "t", "id", blocks)) == _rows(temporal.versions(df, "k", "t", "id"))
+
+
+def test_hot_keys_are_spread(spark):
+    from lakeforge.operators import temporal, windows
+
+    df = spark.range(30_000).select(F.lit(1).alias("k"), F.col("id").alias("t"), (F.col("id") % 10 == 0).alias("good"), "id")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = temporal.as_of_within(df, "k", "t", F.col("good"), "id", "last", blocks=32)
+        sizes = [r[1] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 20_000 and sum(sizes) == 30_000
+        marked = windows.mark_duplicates(df, ["k"], "quarantine_all", salts=16)
+        assert marked.where("is_quarantined = 1").count() == 30_000 and windows.mark_duplicates(df, ["id"], "quarantine_all", salts=4).where("is_quarantined = 1").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
