@@ -11,6 +11,7 @@ from .flows import FLOWS
 from .models import MODELS
 from .operators import loads, temporal, windows
 from .products import PRODUCTS
+from .reports import REPORTS
 from .runs import RUNS
 from .tables import TABLES
 
@@ -177,8 +178,8 @@ CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, (f, _) in (CATALOGUE | MODELS | FLOWS | TABLES | PRODUCTS | RUNS).items()}
+    return {k: f for k, (f, _) in (CATALOGUE | MODELS | FLOWS | TABLES | PRODUCTS | RUNS | REPORTS).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for k, (_, s) in (CATALOGUE | MODELS | FLOWS | TABLES | PRODUCTS | RUNS).items()}
+    return {k: s for k, (_, s) in (CATALOGUE | MODELS | FLOWS | TABLES | PRODUCTS | RUNS | REPORTS).items()}

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+import warnings
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -53,6 +54,21 @@ def parse_timestamp(c: Column, formats: list[str]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
 
 
+def with_timestamp(df: DataFrame, text: str, formats: list[str], name: str, seen: Observation | None = None) -> DataFrame:
+    """Rows with a parsed time; ``seen`` counts in the same pass what didn't parse (``unparsed``) and names one such text (``example``)."""
+    out = df.withColumn(name, parse_timestamp(F.col(f"`{text}`"), formats))
+    bad = F.col(f"`{text}`").isNotNull() & F.col(f"`{name}`").isNull()
+    return out if seen is None else out.observe(seen, F.count_if(bad).alias("unparsed"), F.max(F.when(bad, F.col(f"`{text}`"))).alias("example"))
+
+
+def warn_unparsed(seen: Observation, what: str) -> int:
+    """How many texts weren't times, after an action; a warning if any."""
+    found = seen.get
+    if found["unparsed"]:
+        warnings.warn(f"{what}: {found['unparsed']} texts are no times and were left null, such as {found['example']!r}", stacklevel=2)
+    return found["unparsed"]
+
+
 def lsn_text(c: Column) -> Column:
     """A binary log position as 0x and lower-case hex digits."""
     return F.concat(F.lit("0x"), F.lower(F.hex(c)))

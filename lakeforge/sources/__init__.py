@@ -61,3 +61,22 @@ def deploy_views(spark: SparkSession, scripts: dict[str, str], fail_fast: bool =
                 raise
             errors[name] = str(e).split("\n")[0]
     return errors
+
+
+def external_table(spark: SparkSession, name: str, path: str, schema: StructType | str, kind: str = "parquet", partition_by: list[str] | None = None) -> None:
+    """A catalogue's table over files that stay where they are; one that is there already isn't changed."""
+    columns = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {kind}{parts} LOCATION '{path}'")
+
+
+def html_table(df: DataFrame, most: int = 1000, none: str = "") -> str:
+    """A report's rows as an HTML table; texts are escaped, more than ``most`` rows are an error."""
+    text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(none)) for c in df.columns]
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = [F.replace(t, F.lit(mark), F.lit(name)) for t in text]
+    rows = df.select(F.concat(F.lit("<tr><td>"), F.concat_ws("</td><td>", *text), F.lit("</td></tr>")).alias("row")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a report has {most} rows at most")
+    head = "".join(f"<th>{c.replace('&', '&amp;').replace('<', '&lt;').replace('>', '&gt;')}</th>" for c in df.columns)
+    return f"<table><tr>{head}</tr>{''.join(r[0] for r in rows)}</table>"
