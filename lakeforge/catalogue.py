@@ -107,9 +107,10 @@ def funnel_ratios(spark, d):
 
 
 def monthly_yoy(spark, d):
+    """Orders by month beside those of the same month a year before: summed once, then a window over the months."""
     o = _t(spark, d, "orders").groupBy(F.year("o_orderdate").cast("long").alias("y"), F.month("o_orderdate").cast("long").alias("m")).agg(F.count("*").alias("n"))
-    prior = o.select((F.col("y") + 1).alias("y"), "m", F.col("n").alias("prior_n"))
-    return o.join(prior, ["y", "m"], "left")
+    w = Window.partitionBy("m").orderBy("y")
+    return o.withColumn("prior_n", F.when(F.lag("y").over(w) == F.col("y") - 1, F.lag("n").over(w)))
 
 
 def explode_delimited(spark, d):

@@ -139,7 +139,9 @@ def normalized_name_join(spark, d):
 def star_lookup_default_key(spark, d):
     """Line items with the keys of all their dimensions, -1 where one is missing."""
     li, o, c, n = _t(spark, d, "lineitem"), _t(spark, d, "orders"), _t(spark, d, "customer"), _t(spark, d, "nation")
-    s = li.join(o, li.l_orderkey == o.o_orderkey, "left").join(c, o.o_custkey == c.c_custkey, "left").join(n, c.c_nationkey == n.n_nationkey, "left")
+    # The dimensions are joined first, so the fact is moved once.
+    chain = o.join(c.join(n, c.c_nationkey == n.n_nationkey, "left"), o.o_custkey == c.c_custkey, "left")
+    s = li.join(chain, li.l_orderkey == o.o_orderkey, "left")
     keys = {"order_key": "o_orderkey", "customer_key": "c_custkey", "nation_key": "n_nationkey", "region_key": "n_regionkey"}
     return s.select("l_orderkey", "l_linenumber", "l_partkey", *[X.default_key(F.col(v).cast("long")).alias(k) for k, v in keys.items()])
 
