@@ -216,8 +216,11 @@ def share(spark, path: str, pattern: str):
 def encode_decode(df: DataFrame, text: Column, path: str, pattern: str, keep: list[str], ids_col: str = "token_ids", decoded_col: str = "decoded") -> DataFrame:
     """The columns ``keep``, the ids of ``text`` (array of int) and the bytes decoded from these ids.
 
-    The rank file is read on the driver and broadcast, so executors need no copy of it.
+    The rank file is read on the driver and broadcast, so executors need no copy of it. A kept
+    column with a result's name is an error.
     """
+    if taken := {c.lower() for c in keep} & {ids_col.lower(), decoded_col.lower()}:
+        raise ValueError(f"columns with names of results: {sorted(taken)}")
     shared = share(df.sparkSession, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -64,11 +64,20 @@ def bloom(hashes: DataFrame) -> DataFrame:
     return bit.groupBy("word").agg(F.expr("bit_or(mask)").alias("mask"))
 
 
+def unused(names: list[str], wanted: str) -> str:
+    """A name that is none of these, in any case."""
+    taken = {n.lower() for n in names}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def with_hit(df: DataFrame, name: str, filter_: DataFrame, flag: str) -> DataFrame:
     """``df`` with a column ``flag``: false if the hash ``name`` is certainly not in the Bloom filter. The filter is broadcast; its size is bounded."""
-    small = F.broadcast(filter_.select(F.col("word").alias("__word"), F.col("mask").alias("__mask")))
-    found = df.join(small, F.expr(f"shiftright(`{name}` & {BLOOM - 1}, 6) = __word"), "left")
-    return found.withColumn(flag, F.expr(f"coalesce(__mask & shiftleft(1L, cast(`{name}` & 63 AS int)) <> 0, false)")).drop("__word", "__mask")
+    word, mask = (unused(df.columns, n) for n in ("__word", "__mask"))
+    small = F.broadcast(filter_.select(F.col("word").alias(word), F.col("mask").alias(mask)))
+    found = df.join(small, F.expr(f"shiftright(`{name}` & {BLOOM - 1}, 6) = `{word}`"), "left")
+    return found.withColumn(flag, F.expr(f"coalesce(`{mask}` & shiftleft(1L, cast(`{name}` & 63 AS int)) <> 0, false)")).drop(word, mask)
 
 
 _shipped: set[str] = set()

@@ -37,6 +37,7 @@ class Rule:
     pattern: str
     group: int = 0
     least: int = 0  # of the group's characters; shorter matches are dropped
+    span: int = 0  # the group that is the span
 
 
 # A private key runs to its END line, if no other block begins before it; without one, over headers and the lines of base64
@@ -46,6 +47,9 @@ _LINE_ENDS = r"""(?=[ \t]*+(?:[\r\n\\"']|\Z))"""
 _BODY = rf"(?:{_EOL}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:{_EOL})*+\s*+[A-Za-z0-9+/]{{16,}}+={{0,2}}+{_LINE_ENDS}(?:{_EOL}[A-Za-z0-9+/]++={{0,2}}+{_LINE_ENDS})*+"
 _PRIVATE_KEY = rf"-----BEGIN ([A-Z ]{{0,20}}PRIVATE KEY)-----(?:(?:(?!-----BEGIN )(?s:.))*?-----END \1-----|(?:{_BODY})?)"
 
+# Within a run of its characters a token can only begin at the first eyJ: one that fails there fails at each later one too.
+_JWT = r"(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?(?=eyJ))(eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)"
+
 # The three base rules; then rules for well-known token formats.
 RULES = (
     Rule("assign", r"""(?ai:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", 2, 6),
@@ -55,7 +59,7 @@ RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", _JWT, span=1),
 )
 
 
@@ -183,13 +187,15 @@ class Scanner:
             while left:
                 i = (left & -left).bit_length() - 1
                 left &= left - 1
-                out[i] += [(m.start(), m.end(), rule.kind) for m in rx.finditer(texts[i]) if len(m[rule.group]) >= rule.least]
+                out[i] += [(m.start(rule.span), m.end(rule.span), rule.kind) for m in rx.finditer(texts[i]) if len(m[rule.group]) >= rule.least]
         place = {r.kind: k for k, r in enumerate(self.rules)}
         return [sorted(x, key=lambda s: (s[0], place[s[2]], s[1])) for x in out]
 
 
 def scan(df: DataFrame, text: Column, keep: list[str], rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The columns ``keep`` and ``found``: start, end and kind of each span."""
+    """The columns ``keep`` and ``found``: start, end and kind of each span. A kept column ``found`` is an error."""
+    if "found" in map(str.lower, keep):
+        raise ValueError("columns with names of results: ['found']")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
