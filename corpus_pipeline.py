@@ -13,24 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge.llm import byte_bpe, decontamination, ngram_join, secrets_scan, toxicity
-from lakeforge.llm.common import bloom, fresh_path, materialize, table, with_hit
+from lakeforge.llm.common import bloom, discard, fresh_path, materialize, table, unused, with_hit
 
 #: Near duplicates: five-word shingles, a similarity of 0.8 or more.
 WORDS, PERCENT = 5, 80
 
 
-def _unused(docs: DataFrame, name: str) -> str:
-    """A column name that no column of ``docs`` has, in any case."""
-    taken = {c.lower() for c in docs.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't call toxic; ones without words have the prior's score."""
     model = toxicity.trained(spark, docs, sf_dir)
-    score = _unused(docs, "toxic_score")
+    score = unused(docs.columns, "toxic_score")
     return toxicity.score(docs, F.col("text"), model, docs.columns, score).where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
@@ -44,7 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = ngram_join.link_rows(docs, WORDS, PERCENT)
     best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("x"), F.count("*").alias("c")).where("c > 1").select("component", F.col("x.key").alias("stays"))
     verdict = materialize(found.join(best, "component").groupBy("h").agg(F.max(F.col("key") == F.col("stays")).alias("stays")), "verdict")
-    h, hit, stays = (_unused(docs, name) for name in ("row_hash", "row_hit", "row_stays"))
+    h, hit, stays = (unused(docs.columns, name) for name in ("row_hash", "row_hit", "row_stays"))
     hashed = with_hit(docs.withColumn(h, F.xxhash64("doc_id", "text")), h, bloom(verdict.select("h")), hit)
     looked = hashed.where(F.col(hit)).join(verdict.select(F.col("h").alias(h), F.col("stays").alias(stays)), h, "left")
     kept = looked.where(F.col(stays).isNull()).select(*docs.columns).unionByName(looked.where(stays).dropDuplicates([h]).select(*docs.columns))
@@ -53,7 +45,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    matches = _unused(docs, "matches")
+    matches = unused(docs.columns, "matches")
     found = decontamination.find_items(docs, "text", table(spark, sf_dir, "benchmark"), docs.columns, matches)
     return found.where(F.size(matches) == 0).select(*docs.columns)
 
@@ -85,9 +77,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. Each stage's rows are written and read again; what it read is deleted then."""
+    docs, written = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        docs.written_to = path
+        if written is not None:
+            discard(written)
+        written = docs
     return docs
