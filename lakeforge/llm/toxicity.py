@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, held_out, map_batches, materialize, slices, table
+from .common import discard, give_back, held_out, map_batches, materialize, slices, table
 
 #: Most labelled rows the model is fitted on, half of them at most of label 1.
 TRAIN_ROWS = 6000
@@ -57,6 +57,18 @@ class Bags:
         self.ids = np.concatenate([np.zeros(0, np.uint16), *(ids for ids, _ in rows)])
         self.shares = np.concatenate([np.zeros(0, np.float32), *(SCALE * n / max(n.sum(), 1) for _, n in rows)]).astype(np.float32)
 
+    @classmethod
+    def unpacked(cls, blobs: pa.ChunkedArray) -> Bags:
+        """Bags of what tasks packed, put in place one by one, so that there is one copy of them."""
+        out = cls([])
+        out.ends = np.cumsum([0, *(len(zlib.decompress(x.as_buffer())) // 6 for x in blobs)])
+        out.ids, out.shares = np.empty(out.ends[-1], np.uint16), np.empty(out.ends[-1], np.float32)
+        for x, lo, hi in zip(blobs, out.ends[:-1], out.ends[1:], strict=True):
+            raw = zlib.decompress(x.as_buffer())
+            n = np.frombuffer(raw, np.float32, hi - lo, 2 * (hi - lo))
+            out.ids[lo:hi], out.shares[lo:hi] = np.frombuffer(raw, np.uint16, hi - lo), SCALE * n / max(n.sum(), 1)
+        return out
+
 
 def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The buckets of a text, in order, and how often each occurs."""
@@ -131,15 +143,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     schema = T.StructType([f for f in texts.schema.fields if f.name != "text"] + [T.StructField("bag", T.BinaryType())])
     one = map_batches(texts, run, schema).groupBy("doc_id", "k", "y").agg(F.min(F.struct("h", "bag")).alias("x"))
     rows = one.orderBy("k", "doc_id").select("y", "x.bag").toArrow()
-    y, unpacked = rows["y"].to_numpy().astype(np.int64), []
-    for blob in rows["bag"]:
-        raw = zlib.decompress(blob.as_py())
-        n = len(raw) // 6
-        unpacked.append((np.frombuffer(raw, np.uint16, n), np.frombuffer(raw, np.float32, n, 2 * n)))
+    y, bags = rows["y"].to_numpy().astype(np.int64), Bags.unpacked(rows["bag"])
     del rows
-    bags = Bags(unpacked)
-    del unpacked
+    give_back()
     weights, bias = fit(bags, y)
+    del bags
+    give_back()
     total = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     discard(known)
     if len(total) == 2:  # the sample is balanced more than the labels are
