@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .feeds import FEEDS
 from .flows import FLOWS
 from .models import MODELS
 from .operators import loads, temporal, windows
@@ -179,8 +180,8 @@ CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, (f, _) in (CATALOGUE | MODELS | FLOWS | TABLES | PRODUCTS | RUNS | REPORTS).items()}
+    return {k: f for k, (f, _) in (CATALOGUE | MODELS | FLOWS | TABLES | PRODUCTS | RUNS | REPORTS | FEEDS).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for k, (_, s) in (CATALOGUE | MODELS | FLOWS | TABLES | PRODUCTS | RUNS | REPORTS).items()}
+    return {k: s for k, (_, s) in (CATALOGUE | MODELS | FLOWS | TABLES | PRODUCTS | RUNS | REPORTS | FEEDS).items()}

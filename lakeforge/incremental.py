@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from functools import reduce
 
@@ -25,7 +26,26 @@ def predicate(text: str | None) -> str | None:
     return found or None
 
 
-def next_query(config: dict, state: dict | None = None) -> str:
+#: Dialects of extracts: the source's own, and Spark's for the same extract over files.
+DIALECTS = ("tsql", "spark")
+
+
+def _position(mark: str, dialect: str) -> str:
+    """A log position as a binary literal of the dialect."""
+    digits = mark[2:]
+    return mark if dialect == "tsql" else f"X'{'0' * (len(digits) % 2)}{digits}'"
+
+
+def _limited(select: str, top: int | None, dialect: str) -> str:
+    """A query (without its SELECT) that returns so many rows at most."""
+    if dialect not in DIALECTS:
+        raise ValueError(f"unknown dialect {dialect!r}; one of {DIALECTS}")
+    if not top:
+        return f"SELECT {select}"
+    return f"SELECT TOP({int(top)}) {select}" if dialect == "tsql" else f"SELECT {select} LIMIT {int(top)}"
+
+
+def next_query(config: dict, state: dict | None = None, dialect: str = "tsql") -> str:
     """The extract of one dataset. A stored mark counts only while its column is the same."""
     kind, column = config.get("ingestType", "full"), config.get("sourceWatermarkIdentifier")
     if kind not in ("full", *START):
@@ -39,12 +59,11 @@ def next_query(config: dict, state: dict | None = None) -> str:
         if kind == "cdc" and not re.fullmatch(r"0x[0-9A-Fa-f]+", str(mark)):
             raise ValueError(f"not a log position: {mark!r}")
         quoted = str(mark).replace("'", "''")
-        parts.append(f"{column} > " + (f"CAST('{quoted}' AS timestamp)" if kind == "watermark" else mark))
+        parts.append(f"{column} > " + (f"CAST('{quoted}' AS timestamp)" if kind == "watermark" else _position(mark, dialect)))
     if extra := predicate(config.get("filterExpression")):
         parts.append(f"({extra})")
     where = f" WHERE {' AND '.join(parts)}" if parts else ""
-    top = f"TOP({int(config['top'])}) " if config.get("top") else ""
-    return f"SELECT {top}{', '.join(config.get('columns') or ['*'])} FROM {config['table']}{where}"
+    return _limited(f"{', '.join(config.get('columns') or ['*'])} FROM {config['table']}{where}", config.get("top"), dialect)
 
 
 def needs_state(config: dict) -> bool:
@@ -52,15 +71,13 @@ def needs_state(config: dict) -> bool:
     return config.get("sourceType") == "database" and config.get("ingestType") in START and bool(config.get("dynamicQuery"))
 
 
-def net_change_query(table: str, keys: list[str], position: str, since: str, top: int | None = None) -> str:
+def net_change_query(table: str, keys: list[str], position: str, since: str, top: int | None = None, dialect: str = "tsql") -> str:
     """The source's own query for the last change of each key after a log position, with delete and current flags."""
     if not re.fullmatch(r"0x[0-9A-Fa-f]+", since):
         raise ValueError(f"not a log position: {since!r}")
-    limit = f"TOP({int(top)}) " if top else ""
-    return (
-        f"WITH ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(keys)} ORDER BY {position} DESC) AS rn FROM {table} WHERE {position} > {since}) "
-        f"SELECT {limit}*, CASE WHEN operation = 'delete' THEN 1 ELSE 0 END AS is_deleted, CASE WHEN operation = 'delete' THEN 0 ELSE 1 END AS is_current FROM ranked WHERE rn = 1"
-    )
+    last = "*, CASE WHEN operation = 'delete' THEN 1 ELSE 0 END AS is_deleted, CASE WHEN operation = 'delete' THEN 0 ELSE 1 END AS is_current FROM ranked WHERE rn = 1"
+    ranked = f"SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(keys)} ORDER BY {position} DESC) AS rn FROM {table} WHERE {position} > {_position(since, dialect)}"
+    return f"WITH ranked AS ({ranked}) {_limited(last, top, dialect)}"
 
 
 def advance(df: DataFrame, column: str, state: dict | None = None) -> dict:
@@ -71,6 +88,19 @@ def advance(df: DataFrame, column: str, state: dict | None = None) -> dict:
     return old if top is None else {"identifier": column, "value": top}
 
 
+def extract_offline(source: DataFrame, config: dict, state: dict | None = None) -> DataFrame:
+    """The extract that ``next_query`` would ask the database for, over files of the same table."""
+    own = source.sparkSession.newSession()
+    source.createOrReplaceGlobalTempView(name := f"extract_{uuid.uuid4().hex}")
+    return own.sql(next_query(config | {"table": f"global_temp.{name}"}, state, "spark"))
+
+
+def net_changes_offline(source: DataFrame, keys: list[str], position: str, since: str, top: int | None = None) -> DataFrame:
+    """The net changes that ``net_change_query`` would ask the database for, over files of the same change table."""
+    source.createOrReplaceGlobalTempView(name := f"changes_{uuid.uuid4().hex}")
+    return source.sparkSession.sql(net_change_query(f"global_temp.{name}", keys, position, since, top, "spark")).drop("rn")
+
+
 # --- extraction in parts
 
 

@@ -35,6 +35,12 @@ def row_count_verdict(rows: int, before: int | None, least: int = 1, growth: flo
     return "warning" if before and rows > growth * before else "ok"
 
 
+def row_count_verdicts(counts: DataFrame, rows: str, before: str, least: int = 1, growth: float = 2.0) -> DataFrame:
+    """``row_count_verdict`` as a column ``verdict`` of a frame of counts; a table that wasn't there before (null) can't have grown."""
+    n, old = F.coalesce(F.col(rows), F.lit(0)), F.col(before)
+    return counts.withColumn("verdict", F.when((n == 0) | (n < least), "error").when((old > 0) & (n > growth * old), "warning").otherwise("ok"))
+
+
 def load_rules(rules: DataFrame) -> dict[str, Column]:
     """Rules of a rule table ``rule_id, expression, is_active`` as conditions; the expressions are SQL. A rule book is a small table."""
     return {r["rule_id"]: F.expr(r["expression"]) for r in rules.where("is_active = 1").orderBy("rule_id").collect()}

@@ -130,3 +130,18 @@ def test_unparsed_times_warn(spark):
         warnings.simplefilter("always")
         assert X.warn_unparsed(seen, "times") == 1
     assert "soon" in str(said[0].message)
+
+
+def test_extract_dialects(spark):
+    from lakeforge import incremental
+
+    config = {"table": "t", "ingestType": "cdc", "sourceWatermarkIdentifier": "lsn", "top": 3, "columns": ["a"]}
+    assert incremental.next_query(config, {"identifier": "lsn", "value": "0x123"}, "spark") == "SELECT a FROM t WHERE lsn > X'0123' LIMIT 3"
+    assert incremental.net_change_query("c", ["k"], "lsn", "0x10", 2).endswith("is_current FROM ranked WHERE rn = 1") and "SELECT TOP(2) *" in incremental.net_change_query("c", ["k"], "lsn", "0x10", 2)
+    assert incremental.next_query({"table": "t", "ingestType": "watermark", "sourceWatermarkIdentifier": "u", "initialWatermark": incremental.LATE_START}) == "SELECT * FROM t WHERE u > CAST('1983-01-01' AS timestamp)"
+    with pytest.raises(ValueError):
+        incremental.next_query(config, dialect="other")
+    rows = spark.createDataFrame([(1, "insert", bytearray(b"\x01")), (1, "delete", bytearray(b"\x02")), (2, "update", bytearray(b"\x03")), (3, "insert", bytearray(b"\x00"))], "k int, operation string, lsn binary")
+    got = incremental.net_changes_offline(rows, ["k"], "lsn", "0x00")
+    assert sorted((r.k, r.operation, r.is_deleted, r.is_current) for r in got.collect()) == [(1, "delete", 1, 0), (2, "update", 0, 1)]
+    assert incremental.net_changes_offline(rows, ["k"], "lsn", "0x00", 1).count() == 1
