@@ -163,7 +163,7 @@ def fact_order_lines(spark, d):
 def self_service_cube(spark, d):
     """Orders and their value by any of status, priority and year."""
     o = _t(spark, d, "orders").select(F.nullif("o_orderstatus", F.lit("P")).alias("status"), F.col("o_orderpriority").alias("priority"), F.year("o_orderdate").cast("long").alias("year"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
-    out = dimensional.cube(o, ["status", "priority", "year"], {"n_orders": F.count("*"), "value": F.sum("price")}, {"mean": F.round(F.col("value").cast("double") / F.col("n_orders"), 2)})
+    out = dimensional.cube(o, ["status", "priority", "year"], {"n_orders": F.count("*"), "value": F.sum("price")}, {"mean": F.col("value").cast("double") / F.col("n_orders")})
     return out.withColumn("value", F.col("value").cast("double"))
 
 
@@ -280,7 +280,7 @@ PRODUCTS = {
         self_service_cube,
         """SELECT status, priority, year, CAST(grouping(status, priority, year) AS BIGINT) AS grouping_id, count(*) AS n_orders, CAST(sum(price) AS DOUBLE) AS value,
         array_to_string(list_filter([CASE WHEN grouping(status) = 0 THEN 'status' END, CASE WHEN grouping(priority) = 0 THEN 'priority' END, CASE WHEN grouping(year) = 0 THEN 'year' END], lambda x: x IS NOT NULL), ',') AS chosen,
-        round(CAST(sum(price) AS DOUBLE) / count(*), 2) AS mean
+        CAST(sum(price) AS DOUBLE) / count(*) AS mean
         FROM (SELECT nullif(o_orderstatus, 'P') AS status, o_orderpriority AS priority, year(o_orderdate) AS year, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders) GROUP BY CUBE (status, priority, year)""",
     ),
     "masked_customer": (

@@ -45,12 +45,12 @@ def status_hierarchy(spark, d):
 
 
 def flow_tracking(spark, d):
-    """How often users go from one kind of event to the next, in how many seconds on average, and where they end."""
+    """How often users go from one kind of event to the next, in how many microseconds on average, and where they end."""
     e = _t(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
     steps = windows.previous(windows.previous(e, ["user_id"], ["ts", "event_id"], "event_type", "came_from"), ["user_id"], ["ts", "event_id"], "ts", "since")
     took = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("since").cast("timestamp"))
-    return steps.groupBy(F.coalesce("came_from", F.lit("start")).alias("came_from"), F.col("event_type").alias("went_to")).agg(
-        F.count("*").alias("n"), F.count_distinct("user_id").alias("n_users"), F.round(F.sum(took).cast("double") / F.count("since") / 1e6, 3).alias("mean_seconds")
+    return steps.withColumn("took", took).groupBy(F.coalesce("came_from", F.lit("start")).alias("came_from"), F.col("event_type").alias("went_to")).agg(
+        F.count("*").alias("n"), F.count_distinct("user_id").alias("n_users"), F.expr("sum(took) div nullif(count(took), 0)").alias("mean_micros")
     )
 
 
@@ -93,7 +93,7 @@ REPORTS = {
     "flow_tracking": (
         flow_tracking,
         """SELECT coalesce(came_from, 'start') AS came_from, event_type AS went_to, count(*) AS n, count(DISTINCT user_id) AS n_users,
-        round(CAST(sum(epoch_us(ts) - epoch_us(since)) AS DOUBLE) / nullif(count(since), 0) / 1e6, 3) AS mean_seconds
+        CAST(sum(epoch_us(ts) - epoch_us(since)) // nullif(count(since), 0) AS BIGINT) AS mean_micros
         FROM (SELECT *, lag(event_type) OVER w AS came_from, lag(ts) OVER w AS since FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) GROUP BY 1, 2""",
     ),
     "path_permissions": (
