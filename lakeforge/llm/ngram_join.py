@@ -52,7 +52,7 @@ FRAGMENT = 1024
 #: Fragments for each n-gram that two linked sets may differ in; steps of the threshold that a class of sizes spans.
 FRAGMENTS_FOR_EACH, SPAN = 1.3, 3
 #: Signatures that a task sorts at once.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: The blocks of the signatures' range are as many as the input's partitions, within these powers of two.
 LEAST_BITS, MOST_BITS = 9, 17
 #: Sizes within a band differ by about this factor.
