@@ -31,15 +31,17 @@ def odd(spark, tmp_path):
     _table(spark, tmp_path, [(1, "one two three four five six"), (2, None), (3, "")], "item_id long, text string", "benchmark")
     _table(spark, tmp_path, [(1, None, None), (2, "u\n", "é" * 600), (3, "v", "é" * 600)], "page_id long, url string, html string", "pages")
     _table(spark, tmp_path, [(1, 0, None, None), (1, 0, "user", "x"), (None, 1, "assistant", "")], "conv_id long, turn long, role string, text string", "conversations")
+    _table(spark, tmp_path, [(1, [0.5] * 64), (1, [0.5] * 64), (None, [1.0] * 64), (2, None), (3, [0.5]), (4, [None] * 64)], "vec_id long, embedding array<float>", "embeddings")
     return str(tmp_path)
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_odd_rows_and_empty_tables(spark, odd, tmp_path_factory, name):
-    want = {"op2_chat_format": 3, "op9_warc": 3}.get(name, len(ODD) + 1)
+    parts = spark.read.parquet(f"{odd}/documents.parquet").selectExpr("coalesce(lang, '') AS part").distinct().count()
+    want = {"op2_chat_format": 3, "op9_warc": 3, "op12_filter_audit": 600 * parts, "op13_centroids": 3}.get(name, len(ODD) + 1)
     assert queries()[name](spark, odd).count() == want
     empty = str(tmp_path_factory.mktemp("empty"))
-    for t in ("documents", "labels", "benchmark", "pages", "conversations"):
+    for t in ("documents", "labels", "benchmark", "pages", "conversations", "embeddings"):
         spark.read.parquet(f"{odd}/{t}.parquet").where("false").write.parquet(f"{empty}/{t}.parquet")
     assert queries()[name](spark, empty).count() == (1 if name == "op2_chat_format" else 0)
 
