@@ -232,3 +232,57 @@ def test_held_out_language(spark):
     d = "/root/testdata/sf0.01"
     got = queries()["op1_language_id"](spark, d).join(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
     assert (got["lang_pred"] == got["lang"]).mean() >= 0.9
+
+
+def _segmentations(word, numbers):
+    """All ways to cut a word into pieces, as lists of their numbers."""
+    ways = {0: [[]]}
+    for end in range(1, len(word) + 1):
+        ways[end] = [[*w, numbers[word[at:end]]] for at in range(end) if word[at:end] in numbers for w in ways[at]]
+    return ways[len(word)]
+
+
+def test_language_takes_pieces_and_words_of_any_length():
+    import numpy as np
+
+    from lakeforge.llm.byte_bpe import read_ranks
+
+    tokens = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    p, numbers = lang_id.Pieces(tokens), {t: i for i, t in enumerate(tokens)}
+    rng = np.random.default_rng(3)
+    probs = np.vstack([rng.dirichlet(np.full(p.n, 0.5), 2).T + 1e-9, np.zeros((1, 2))])
+    long = max((t for t in tokens if t.strip().isalpha() and len(t) > 8), key=len)
+    words = [b" international", b" internationalx", long, b" x", " größer".encode(), b"q", " 学生".encode()]
+    want = [np.log(sum(np.prod(probs[w], axis=0) for w in _segmentations(word, numbers))) for word in words]
+    assert any(len(tokens[i]) > 7 for i in sum(_segmentations(words[0], numbers), []))
+    assert np.allclose(p.forward(words, probs), want)
+    weights = np.array([[i + 1.0, i % 2] for i in range(len(words))])
+    counts = np.zeros((p.n, 2))
+    for word, own in zip(words, weights, strict=True):
+        ways = _segmentations(word, numbers)
+        share = np.array([np.prod(p.base[w]) for w in ways])
+        for w, x in zip(ways, share / share.sum(), strict=True):
+            for i in w:
+                counts[i] += x * own
+    assert np.allclose(p.expected(words, weights), counts)
+
+    # Words longer than one window, in arrays and number by number: every byte lies in one piece.
+    run, sizes = " 学生international".encode() * 60, np.array([len(t) for t in tokens])
+    assert len(run) < lang_id.LONG < len(run * 2) < len(run * 200) and lang_id.CHUNK < len(run * 200)
+    grid, logs = p.forward([run], probs)[0], p._long(run, probs)[0]
+    assert np.allclose(grid, logs)
+    one = p.expected([run], np.array([[1.0]]))
+    for k in (1, 2, 200):
+        got = p.expected([run * k], np.array([[1.0]]))
+        assert np.isclose((got[:, 0] * sizes).sum(), len(run) * k) and np.allclose(got, one * k, rtol=0.02, atol=0.02 * k)
+
+
+def test_language_learns_across_long_runs(spark):
+    import numpy as np
+
+    text = "ab" * 40  # one word of 81 bytes, of which no piece is lost at a cut
+    docs = spark.createDataFrame([(1, text, "x"), (2, text, "x"), (3, "ba", "y"), (4, "", "z")], "doc_id long, text string, lang string")
+    langs, probs, pieces = lang_id.learn(docs, docs.text, docs.lang, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    want = pieces.expected([b" " + text.encode()], np.array([[2.0]]))[:, 0]
+    want = want + lang_id.SMOOTHING * max(1.0, want.sum()) * pieces.base
+    assert langs == ["x", "y", "z"] and np.allclose(probs[:-1, 0], want / want.sum(), rtol=1e-4)
