@@ -33,6 +33,8 @@ from .operators import layout, loads
 CHECKPOINT = 10
 #: Bounds of longer strings aren't kept.
 BOUND_CHARS = 64
+#: Types whose bounds are kept as texts.
+CALENDAR = (T.DateType, T.TimestampNTZType)
 
 
 class ConcurrentCommit(RuntimeError):
@@ -60,12 +62,28 @@ def bounds_of(df: DataFrame, columns: list[str]) -> list[Column]:
     """Aggregates ``<column>`` (least, largest, how many have none) for those columns that have bounds."""
     out = []
     for c in columns:
-        form = bound_form(F.col(f"`{c}`"), df.schema[c].dataType) if c in df.columns else None
-        if form is not None:
-            out.append(F.struct(F.min(form).alias("low"), F.max(form).alias("high"), F.count_if(form.isNull()).alias("none")).alias(c))
+        kind = df.schema[c].dataType if c in df.columns else None
+        value = F.col(f"`{c}`")
+        form = bound_form(value, kind)
+        if form is None:
+            continue
+        if isinstance(kind, CALENDAR):  # as texts they would be sorted to be aggregated, and beyond four digits of a year their order isn't that of time
+            first, last = F.min(value), F.max(value)
+            inside = F.coalesce((F.year(first) >= 0) & (F.year(last) <= 9999), F.lit(True))
+            out.append(F.when(inside, F.struct(bound_form(first, kind).alias("low"), bound_form(last, kind).alias("high"), F.count_if(value.isNull()).alias("none"))).alias(c))
+            continue
+        out.append(F.struct(F.min(form).alias("low"), F.max(form).alias("high"), F.count_if(form.isNull()).alias("none")).alias(c))
     return out
 
 
+def per_file(rows: DataFrame, bounded: list[str]) -> DataFrame:
+    """Rows and bounds by file: ``__path, __rows``, the bounded columns, and a set that means nothing."""
+    found = [F.count("*").alias("__rows"), *bounds_of(rows, bounded)]
+    texts = any(c in rows.columns and isinstance(rows.schema[c].dataType, T.StringType) for c in bounded)
+    # Least texts alone make Spark sort all rows by file; beside a set they are kept by hash, a buffer a file.
+    return rows.groupBy(F.col("_metadata.file_path").alias("__path")).agg(*found, *([F.collect_set(F.lit(0)).alias("__set")] if texts else []))
+
+
 def _plain(bound) -> list | None:
     """Bounds as JSON; None where they are of no use."""
     if bound is None or (isinstance(bound["high"], str) and max(len(bound["low"]), len(bound["high"])) > BOUND_CHARS):
@@ -227,7 +245,8 @@ class TableStore:
 
     def _limits(self, values: list, kinds: list[T.DataType]) -> list:
         forms = [bound_form(F.lit(v).cast(k), k) for v, k in zip(values, kinds, strict=True)]
-        return list(self.spark.range(1).select(*[F.lit(None) if x is None else x for x in forms]).first())
+        found = self.spark.range(1).select(*[F.lit(None) if x is None else x for x in forms]).first()
+        return [None if isinstance(k, CALENDAR) and v is not None and v[0] in "+-" else v for v, k in zip(found, kinds, strict=True)]
 
     # --- writing
 
@@ -246,10 +265,10 @@ class TableStore:
         if found:
             rows = self.spark.read.schema(df.schema).parquet(*[f"{folder}/{f}" for f in found])
             # Reads the bounded columns of the new files alone; without any, their footers.
-            per = rows.groupBy(F.col("_metadata.file_path").alias("__path")).agg(F.count("*").alias("__rows"), *bounds_of(rows, bounded))
+            per = per_file(rows, bounded)
             for r in per.collect():  # a row a file, as in the log
                 own = found[self._path(r["__path"]).toUri().getPath().removeprefix(base).lstrip("/")]
-                own |= {"rows": r["__rows"], "bounds": {c: b for c in per.columns[2:] if (b := _plain(r[c])) is not None}}
+                own |= {"rows": r["__rows"], "bounds": {c: b for c in per.columns[2:] if c != "__set" and (b := _plain(r[c])) is not None}}
         return piece, {f: x for f, x in found.items() if x["rows"]}
 
     def _drop(self, name: str, piece: str) -> None:
@@ -359,7 +378,7 @@ class TableStore:
         try:
             batch = self.spark.read.schema(source.schema).parquet(aside)
             known = T.StructType.fromJson(state["schema"])
-            spans = {c: b for c, b in batch.agg(F.count("*").alias("__rows"), *bounds_of(batch, [k for k in keys if known[k].dataType == batch.schema[k].dataType])).first().asDict().items() if c != "__rows"}
+            spans = {c: b for c, b in batch.agg(F.count("*").alias("__rows"), *bounds_of(batch, [k for k in keys if known[k].dataType == batch.schema[k].dataType])).first().asDict().items() if c != "__rows" and b is not None}
             near = {p: {f: x for f, x in own.items() if all(may_hold(x["bounds"].get(c), b["low"], b["high"], b["none"] > 0) for c, b in spans.items())} for p, own in state["files"].items()}
             old = self._read(name, state, near)
             hit = loads._meets(keys, "o", "b")

@@ -213,3 +213,32 @@ def test_base_versions(spark, store):
         store.commit("t", spark.range(2), "overwrite", base=None)
     with pytest.raises(ValueError):
         store.load("t", "sideways", spark.range(1), ["id"])
+
+
+def test_files_grow_in_number_not_in_size(spark, store, monkeypatch):
+    df = spark.range(20_000).select("id", F.lit(1).alias("one"), (F.col("id") % 7).alias("x"), F.repeat(F.lit("y"), 92).alias("s"))
+    monkeypatch.setattr(layout, "FILE_BYTES", 100_000, raising=False)
+    for columns in (["id"], ["one"], ["one", "x"]):
+        sizes = [r[0] for r in layout.clustered(df, columns).groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == 20_000 and len(sizes) >= 20 and max(sizes) < 3000
+    store.load("t", "overwrite", df, [], cluster_by=["one", "x"])
+    assert _rows(store.read("t", ranges={"x": (2, 3)})) == _rows(df.where("x BETWEEN 2 AND 3"))
+    assert len(layout.clustered(df, ["one"], 3).groupBy(F.spark_partition_id()).count().collect()) == 3
+
+
+def test_bounds_of_files_need_no_sort(spark, store):
+    df = spark.sql("SELECT id, date_add(DATE'1996-01-01', CAST(id AS INT)) AS d, CAST(date_add(DATE'1996-01-01', CAST(id AS INT)) AS TIMESTAMP_NTZ) AS n, CAST(id AS STRING) AS s FROM range(100)")
+    store.load("t", "overwrite", df, ["d", "n", "s", "id"])
+    from lakeforge.store import per_file
+
+    per = per_file(store.read("t"), ["d", "n", "s", "id"])
+    assert "Sort" not in per._jdf.queryExecution().executedPlan().toString()
+    held = [x["bounds"] for own in store._entry("t")["files"].values() for x in own.values()]
+    assert min(b["d"][0] for b in held) == "1996-01-01" and max(b["n"][1] for b in held) == "1996-04-09 00:00:00" and max(b["s"][1] for b in held) == "99"
+    far = df.unionByName(df.selectExpr("id", "make_date(12000, 1, 1) AS d", "n", "CAST(NULL AS STRING) AS s")).unionByName(df.selectExpr("id", "CAST(NULL AS DATE) AS d", "n", "s")).coalesce(1)
+    store.load("far", "overwrite", far, ["d"])
+    for low, high in (("1996-01-01", "1996-01-03"), ("1997-01-01", None), ("1996-01-02", "+12000-01-01")):
+        where = f"d >= DATE'{low}'" + (f" AND d <= DATE'{high}'" if high else "")
+        assert _rows(store.read("far", ranges={"d": (low, high)}).selectExpr("id", "string(d)", "s")) == _rows(far.where(where).selectExpr("id", "string(d)", "s"))
+    store.load("far", "overwrite_by_key", df.where("id = 0").unionByName(df.selectExpr("id", "make_date(12000, 1, 1) AS d", "n", "s").where("id = 1")), ["d"])
+    assert store.read("far").where("d = make_date(12000, 1, 1)").count() == 1
