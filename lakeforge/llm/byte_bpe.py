@@ -16,9 +16,9 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,8 @@ from .common import map_batches, slices
 
 #: Pre-tokens that a worker remembers twice over (this generation and the last), and the longest of them.
 MEMO_ENTRIES, MEMO_CHARS = 150_000, 64
+#: The same where no other stage needs the memory of the workers.
+WIDE_MEMO = 600_000
 #: Texts whose ids stand in one array.
 BATCH_ROWS = 200
 #: Steps are taken modulo a prime over the number of slots, so that a step shared with it can't keep a bucket from free slots.
@@ -126,8 +128,10 @@ class ByteBPE:
         # Tier two asks for the ranks of many short pieces, most of them no tokens; a plain dict is quickest for these.
         self.ranks = {t: i for i, t in enumerate(tokens) if t}
         self.column = pa.array(tokens, pa.binary())
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.last: dict[str, tuple[int, ...]] = {}
+        self.entries = MEMO_ENTRIES
+        # Ids stand as the bytes of 32-bit numbers, which take less room than tuples and are joined without a step for each id.
+        self.memo: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of a pre-token that is no vocabulary entry."""
@@ -157,24 +161,24 @@ class ByteBPE:
             at = after[at]
         return out
 
-    def encode_pretoken(self, pretoken: str) -> tuple[int, ...]:
+    def encode_pretoken(self, pretoken: str) -> bytes:
         piece = pretoken.encode("utf-8", "surrogatepass")
         rank = self.hash.find(piece)
-        return (rank,) if rank >= 0 else tuple(self.merge(piece))
+        return array("i", (rank,) if rank >= 0 else self.merge(piece)).tobytes()
 
     def encode(self, text: str) -> list[int]:
         return self.encode_array(text).tolist()
 
     def encode_array(self, text: str) -> np.ndarray:
         words = (self.findall if self.quick is None or self.odd(text) else self.quick)(text)
-        if len(self.memo) >= MEMO_ENTRIES:
+        if len(self.memo) >= self.entries:
             self.memo, self.last = {}, self.memo
         memo, last, long = self.memo, self.last, []
         for w in set(words).difference(memo):
             memo[w] = last.get(w) or self.encode_pretoken(w)
             if len(w) > MEMO_CHARS:
                 long.append(w)
-        ids = np.fromiter(chain.from_iterable(map(memo.__getitem__, words)), np.int32)
+        ids = np.frombuffer(b"".join(map(memo.__getitem__, words)), np.int32)
         for w in long:
             del memo[w]
         return ids
@@ -213,11 +217,11 @@ def share(spark, path: str, pattern: str):
     return spark.sparkContext.broadcast((key, pattern, tokens, made.hash.arrays))
 
 
-def encode_decode(df: DataFrame, text: Column, path: str, pattern: str, keep: list[str], ids_col: str = "token_ids", decoded_col: str = "decoded") -> DataFrame:
+def encode_decode(df: DataFrame, text: Column, path: str, pattern: str, keep: list[str], ids_col: str = "token_ids", decoded_col: str = "decoded", memo_entries: int = MEMO_ENTRIES) -> DataFrame:
     """The columns ``keep``, the ids of ``text`` (array of int) and the bytes decoded from these ids.
 
     The rank file is read on the driver and broadcast, so executors need no copy of it. A kept
-    column with a result's name is an error.
+    column with a result's name is an error. A worker remembers two times ``memo_entries`` pre-tokens; others are encoded again.
     """
     if taken := {c.lower() for c in keep} & {ids_col.lower(), decoded_col.lower()}:
         raise ValueError(f"columns with names of results: {sorted(taken)}")
@@ -225,6 +229,7 @@ def encode_decode(df: DataFrame, text: Column, path: str, pattern: str, keep: li
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(shared)
+        bpe.entries = memo_entries
         for b in slices(batches, BATCH_ROWS):
             found = [bpe.encode_array(value.as_py() or "") for value in b.column(0)]
             ends, flat = np.cumsum([0, *map(len, found)]), np.concatenate([np.zeros(0, np.int32), *found])
@@ -243,7 +248,7 @@ def op6_byte_bpe(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return with_digests(encode_decode(docs, F.col("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ["doc_id"])).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return with_digests(encode_decode(docs, F.col("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ["doc_id"], memo_entries=WIDE_MEMO)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def with_digests(df: DataFrame) -> DataFrame:

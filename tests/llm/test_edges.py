@@ -98,3 +98,15 @@ def test_held_out_recall(spark, name, label, least):
     found = (area, hit[y == 1].mean(), y[hit].mean())
     print(name, found)
     assert all(a >= b for a, b in zip(found, least, strict=True)), found
+
+
+def test_remembered_words_are_not_encoded_again():
+    bpe = byte_bpe.ByteBPE(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    texts = [" ".join(f"qz{chr(97 + i % 26)}{chr(97 + j)}xv" for j in range(20)) for i in range(40)]
+    first = [bpe.encode(t) for t in texts]
+    calls, plain = [], bpe.encode_pretoken
+    bpe.encode_pretoken = lambda w: calls.append(w) or plain(w)
+    assert [bpe.encode(t) for t in texts] == first and not calls
+    assert isinstance(bpe.memo[" qzabxv"], bytes) and byte_bpe.WIDE_MEMO > bpe.entries
+    bpe.entries, bpe.memo, bpe.last = 30, {}, {}  # too few for all, with the same ids
+    assert [bpe.encode(t) for t in texts] == first and len(calls) > 26 * 20 and len(bpe.memo) <= 30 + 20
